@@ -3,18 +3,52 @@
 Each query builds its input from the given tables (``loanflow.fixtures``), runs
 the library operator on all rows, and returns a frame whose columns are
 aliased exactly like the DuckDB oracle in ``loanflow.checks.oracles``.  Audit
-timestamps (``current_timestamp``) are dropped from compared outputs.
+timestamps (``current_timestamp``) are dropped from compared outputs; vectors
+are returned as arrays or scalars.  Queries that write (sinks, streams) use a
+fresh folder below the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanflow import fixtures as fx
+from loanflow.functions.cleaning import blank_to_null, cast_numeric, parse_month_date, parse_percent
+from loanflow.functions.derived import with_derived, with_label
+from loanflow.functions.shares import with_share
+from loanflow.operators import columns as cols_op
+from loanflow.operators import encode, evaluate, nulls, profile, quantiles, split, weights
+from loanflow.operators.models import (
+    CLASSIFIERS,
+    make_classifier,
+    top_importances,
+    train_and_evaluate,
+)
 from loanflow.plans.gold import silver_to_gold
 from loanflow.plans.silver import bronze_to_silver
-from loanflow.schema import AUDIT_COLUMNS
-from loanflow.sources.messages import with_backfill_metadata
+from loanflow.schema import (
+    AUDIT_COLUMNS,
+    BRONZE_COLUMNS,
+    CATEGORICAL_FEATURES,
+    DATE_COLUMNS,
+    DESCRIBE_COLUMNS,
+    INGESTION_TS,
+    LABEL,
+    LOAN_COLUMNS,
+    NUMERIC_COLUMNS,
+    NUMERIC_FEATURES,
+    PERCENT_COLUMNS,
+    PREVIEW_COLUMNS,
+    PROFILE_CATEGORICALS,
+    WEIGHT,
+    existing,
+)
+from loanflow.session import scratch_path
+from loanflow.sources import files
+from loanflow.sources.messages import SourceConfig, decode_messages, to_messages, with_backfill_metadata
 
 REGISTRY: dict = {}
 
@@ -44,7 +78,608 @@ def gold(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     return silver_to_gold(silver(spark, sf_dir), keep=keep)
 
 
-# -- L: composite layers ------------------------------------------------------------------
+def features(spark: SparkSession, sf_dir: str, keep=("id",)) -> DataFrame:
+    g = gold(spark, sf_dir, keep=keep)
+    return cols_op.select_features(cols_op.drop_leakage_columns(g, keep=keep), keep=keep)
+
+
+def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.hash_split(weights.with_class_weight(features(spark, sf_dir)), "id")
+
+
+# ======================================================================================
+# A: sources and sinks
+# ======================================================================================
+
+@query("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    files.write_loans_csv(fx.loan_bronze(spark, sf_dir).repartition(4), path)
+    return files.read_loans_csv(spark, path)
+
+
+@query("table_scan")
+def q_table_scan(spark, sf_dir):
+    path = scratch_path(spark, "bronze")
+    files.write_table(bronze(spark, sf_dir), path)
+    return no_audit(files.read_table(spark, path))
+
+
+@query("table_overwrite")
+def q_table_overwrite(spark, sf_dir):
+    path = scratch_path(spark, "gold")
+    g = no_audit(gold(spark, sf_dir))
+    files.write_table(g, path)
+    files.write_table(g, path)  # idempotent: a second overwrite leaves the same table
+    return files.read_table(spark, path)
+
+
+@query("optional_scan")
+def q_optional_scan(spark, sf_dir):
+    missing = scratch_path(spark, "absent") + "/no_table_here"
+    return files.read_or_else(spark, missing, no_audit(gold(spark, sf_dir)))
+
+
+@query("table_ready")
+def q_table_ready(spark, sf_dir):
+    path = scratch_path(spark, "ready")
+    empty = files.table_ready(spark, path + "/none")
+    files.write_table(no_audit(gold(spark, sf_dir)), path)
+    ready = files.table_ready(spark, path)
+    n = files.read_table(spark, path).agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.select(F.lit(ready).alias("ready"), F.lit(empty).alias("ready_before"), "n_rows")
+
+
+@query("publish_json")
+def q_publish_json(spark, sf_dir):
+    msgs = to_messages(fx.loan_bronze(spark, sf_dir), fx.MESSAGE_TOPIC)
+    shaped = msgs.select("key", "value", "topic", F.lit(None).cast("int").alias("partition"),
+                         F.lit(None).cast("long").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    return decode_messages(shaped, stamp=False).select(*LOAN_COLUMNS)
+
+
+@query("json_decode")
+def q_json_decode(spark, sf_dir):
+    return decode_messages(fx.messages(spark, sf_dir), stamp=False)
+
+
+@query("backfill_metadata")
+def q_backfill_metadata(spark, sf_dir):
+    return no_audit(bronze(spark, sf_dir))
+
+
+@query("count_reconcile")
+def q_count_reconcile(spark, sf_dir):
+    from loanflow.sources.reconcile import reconcile_counts
+
+    raw = fx.loan_bronze(spark, sf_dir)
+    b = with_backfill_metadata(raw)
+    return reconcile_counts(raw, b, bronze_to_silver(b))
+
+
+@query("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    df = weighted_split(spark, sf_dir)
+    ready, model = encode.featurize(df, fit_on="train", keep=("id", LABEL))
+    path = scratch_path(spark, "pipeline")
+    files.save_pipeline(model, path)
+    reloaded = files.load_pipeline(path)
+    again = reloaded.transform(df).select("id", F.col("features").alias("features_reloaded"))
+    both = ready.join(again, "id")
+    same = F.aggregate(F.zip_with(encode.as_array("features"), encode.as_array("features_reloaded"),
+                                  lambda a, b: F.abs(a - b)), F.lit(0.0), lambda acc, x: F.greatest(acc, x))
+    return both.select("id", LABEL, (same < 1e-12).alias("same_features"))
+
+
+# ======================================================================================
+# B: projections and schema-driven selection
+# ======================================================================================
+
+@query("project_cast_rename")
+def q_project_cast_rename(spark, sf_dir):
+    return decode_messages(fx.messages(spark, sf_dir), stamp=False).select(
+        "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
+
+
+@query("struct_expand")
+def q_struct_expand(spark, sf_dir):
+    return decode_messages(fx.messages(spark, sf_dir), stamp=False).select(*LOAN_COLUMNS)
+
+
+@query("drop_sparse_columns")
+def q_drop_sparse_columns(spark, sf_dir):
+    return no_audit(cols_op.drop_sparse_columns(silver(spark, sf_dir)))
+
+
+@query("drop_leakage_columns")
+def q_drop_leakage_columns(spark, sf_dir):
+    return no_audit(cols_op.drop_leakage_columns(gold(spark, sf_dir)))
+
+
+@query("select_features")
+def q_select_features(spark, sf_dir):
+    return cols_op.select_features(cols_op.drop_leakage_columns(gold(spark, sf_dir)))
+
+
+@query("sample_rows_projection")
+def q_sample_rows_projection(spark, sf_dir):
+    return cols_op.preview(gold(spark, sf_dir, keep=["id"]), PREVIEW_COLUMNS, 10, order_by="id")
+
+
+# ======================================================================================
+# C: predicates, conditionals, null handling
+# ======================================================================================
+
+@query("blank_to_null")
+def q_blank_to_null(spark, sf_dir):
+    return blank_to_null(fx.loan_bronze(spark, sf_dir))
+
+
+def _silver_cols(spark, sf_dir, columns):
+    return silver(spark, sf_dir).select("id", *columns)
+
+
+@query("default_label")
+def q_default_label(spark, sf_dir):
+    return with_label(silver(spark, sf_dir)).select("id", "loan_status", LABEL)
+
+
+@query("high_risk_flag")
+def q_high_risk_flag(spark, sf_dir):
+    return _silver_cols(spark, sf_dir, ["grade", "is_high_risk"])
+
+
+@query("charged_off_flag")
+def q_charged_off_flag(spark, sf_dir):
+    return _silver_cols(spark, sf_dir, ["loan_status", "is_charged_off"])
+
+
+@query("guarded_ratio")
+def q_guarded_ratio(spark, sf_dir):
+    return _silver_cols(spark, sf_dir, ["loan_amnt", "annual_inc", "loan_to_income_ratio"])
+
+
+@query("fill_numeric")
+def q_fill_numeric(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    numeric = cols_op.numeric_columns(s)
+    return nulls.fill_numeric(s).select("id", *numeric)
+
+
+@query("fill_string")
+def q_fill_string(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    strings = cols_op.string_columns(s)
+    return nulls.fill_string(s).select(*strings)
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return nulls.null_profile(s, existing(s, DESCRIBE_COLUMNS) + ["revol_util", "mort_acc", "emp_length"])
+
+
+@query("imbalance_flag")
+def q_imbalance_flag(spark, sf_dir):
+    return nulls.class_balance(gold(spark, sf_dir))
+
+
+@query("quantile_clip")
+def q_quantile_clip(spark, sf_dir):
+    return quantiles.clip_quantiles(gold(spark, sf_dir, keep=["id"]), "loan_amnt").select("id", "loan_amnt")
+
+
+# ======================================================================================
+# D: scalar functions
+# ======================================================================================
+
+def _blanked(spark, sf_dir):
+    return blank_to_null(fx.loan_bronze(spark, sf_dir))
+
+
+@query("parse_percent")
+def q_parse_percent(spark, sf_dir):
+    return parse_percent(_blanked(spark, sf_dir)).select("id", *PERCENT_COLUMNS)
+
+
+@query("cast_numeric")
+def q_cast_numeric(spark, sf_dir):
+    return cast_numeric(_blanked(spark, sf_dir)).select("id", *NUMERIC_COLUMNS)
+
+
+@query("parse_month_date")
+def q_parse_month_date(spark, sf_dir):
+    return parse_month_date(_blanked(spark, sf_dir)).select("id", *DATE_COLUMNS)
+
+
+@query("fico_average")
+def q_fico_average(spark, sf_dir):
+    typed = cast_numeric(_blanked(spark, sf_dir))
+    return with_derived(parse_percent(typed)).select("id", "fico_range_low", "fico_range_high", "fico_avg")
+
+
+@query("share_percent")
+def q_share_percent(spark, sf_dir):
+    counts = gold(spark, sf_dir).groupBy("grade").agg(F.count(F.lit(1)).alias("count"))
+    return with_share(counts)
+
+
+# ======================================================================================
+# E: aggregations
+# ======================================================================================
+
+@query("row_count")
+def q_row_count(spark, sf_dir):
+    return profile.table_shape(gold(spark, sf_dir))
+
+
+@query("label_distribution")
+def q_label_distribution(spark, sf_dir):
+    return profile.distribution(gold(spark, sf_dir), LABEL)
+
+
+@query("status_topk")
+def q_status_topk(spark, sf_dir):
+    return profile.top_values(gold(spark, sf_dir), "loan_status", 15)
+
+
+@query("categorical_topk")
+def q_categorical_topk(spark, sf_dir):
+    return profile.categorical_profile(gold(spark, sf_dir), PROFILE_CATEGORICALS, 10)
+
+
+@query("dominant_value")
+def q_dominant_value(spark, sf_dir):
+    return profile.dominant_values(gold(spark, sf_dir), PROFILE_CATEGORICALS)
+
+
+@query("describe_numeric")
+def q_describe_numeric(spark, sf_dir):
+    return profile.describe_long(gold(spark, sf_dir), DESCRIBE_COLUMNS)
+
+
+@query("null_counts")
+def q_null_counts(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return nulls.null_counts(s, existing(s, DESCRIBE_COLUMNS))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    w = weights.class_weights(features(spark, sf_dir))
+    return w.withColumn("weight", F.round("weight", 6))
+
+
+@query("with_class_weight")
+def q_with_class_weight(spark, sf_dir):
+    w = weights.with_class_weight(features(spark, sf_dir))
+    return w.withColumn(WEIGHT, F.round(WEIGHT, 6))
+
+
+@query("distinct_pairs")
+def q_distinct_pairs(spark, sf_dir):
+    w = weights.with_class_weight(features(spark, sf_dir))
+    return weights.distinct_pairs(w.withColumn(WEIGHT, F.round(WEIGHT, 6)), [LABEL, WEIGHT])
+
+
+@query("time_series_count")
+def q_time_series_count(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    return profile.count_by_time(g, cols_op.first_existing(g, ["issue_d", "issue_date", "earliest_cr_line"]))
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    return quantiles.histogram(gold(spark, sf_dir), "loan_amnt", bins=40)
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_matrix(fx.scored(spark, sf_dir))
+
+
+# ======================================================================================
+# F, G, H: ranking, set operations, sampling and splitting
+# ======================================================================================
+
+@query("model_leaderboard")
+def q_model_leaderboard(spark, sf_dir):
+    return evaluate.leaderboard(evaluate.metrics_by_model(fx.scored(spark, sf_dir)))
+
+
+@query("except_distinct")
+def q_except_distinct(spark, sf_dir):
+    df = weighted_split(spark, sf_dir)
+    every = df.drop("id", "split")
+    train = df.where(F.col("split") == "train").drop("id", "split")
+    return split.except_distinct(every, train).withColumn(WEIGHT, F.round(WEIGHT, 6))
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return split.hash_split(features(spark, sf_dir), "id").select("id", LABEL, "split")
+
+
+@query("split_report")
+def q_split_report(spark, sf_dir):
+    return split.split_report(split.hash_split(features(spark, sf_dir), "id"))
+
+
+@query("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    return split.stratified_sample(features(spark, sf_dir), LABEL, {0: 0.8, 1: 0.8}, 42)
+
+
+@query("split_parity")
+def q_split_parity(spark, sf_dir):
+    f = weights.with_class_weight(features(spark, sf_dir)).drop("id")
+    train, test = split.sample_and_subtract(f, LABEL, {0: 0.8, 1: 0.8}, 42)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return split.split_report(both)
+
+
+@query("uniform_sample")
+def q_uniform_sample(spark, sf_dir):
+    return split.uniform_sample(gold(spark, sf_dir).select(*PREVIEW_COLUMNS), 0.2, 42)
+
+
+# ======================================================================================
+# I: feature engineering (compared as scalars, never as vectors)
+# ======================================================================================
+
+def _fitted(spark, sf_dir, fit_on="all"):
+    df = weighted_split(spark, sf_dir)
+    model = encode.feature_pipeline(existing(df, NUMERIC_FEATURES), existing(df, CATEGORICAL_FEATURES)).fit(
+        df if fit_on == "all" else df.where(F.col("split") == "train"))
+    return model.transform(df)
+
+
+@query("string_index")
+def q_string_index(spark, sf_dir):
+    f = features(spark, sf_dir)
+    cats = existing(f, CATEGORICAL_FEATURES)
+    indexed = encode.index_categories(f, cats)
+    per_col = [indexed.select(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                              F.col(f"{c}_idx").alias("idx")).distinct() for c in cats]
+    return reduce(DataFrame.unionByName, per_col)
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    f = features(spark, sf_dir)
+    cats = existing(f, CATEGORICAL_FEATURES)
+    enc = encode.one_hot(encode.index_categories(f, cats), cats)
+    per_col = []
+    for c in cats:
+        arr = encode.as_array(f"{c}_ohe")
+        per_col.append(enc.select(
+            F.lit(c).alias("column_name"), F.col(c).alias("value"), F.size(arr).alias("size"),
+            (F.array_position(arr, F.lit(1.0)) - 1).alias("active")).distinct())
+    return reduce(DataFrame.unionByName, per_col)
+
+
+@query("assemble_numeric")
+def q_assemble_numeric(spark, sf_dir):
+    f = features(spark, sf_dir)
+    nums = existing(f, NUMERIC_FEATURES)
+    vec = encode.assemble(f, nums, "numeric_vec")
+    return vec.select("id", F.posexplode(encode.as_array("numeric_vec")).alias("slot", "value"))
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    f = features(spark, sf_dir)
+    nums = existing(f, NUMERIC_FEATURES)
+    scaled = encode.scale(encode.assemble(f, nums, "numeric_vec"), "numeric_vec", "numeric_scaled")
+    exploded = scaled.select("id", F.posexplode(encode.as_array("numeric_scaled")).alias("slot", "value"))
+    return exploded.withColumn("value", F.round("value", 6))
+
+
+@query("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    out = _fitted(spark, sf_dir)
+    arr = encode.as_array("features")
+    return out.select("id", F.size(arr).alias("n_slots"),
+                      F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
+
+
+@query("feature_pipeline")
+def q_feature_pipeline(spark, sf_dir):
+    ready, _ = encode.featurize(weighted_split(spark, sf_dir), fit_on="train", keep=("id", LABEL, WEIGHT))
+    return ready.select("id", LABEL, F.round(WEIGHT, 6).alias(WEIGHT), "split",
+                        F.size(encode.as_array("features")).alias("n_slots"))
+
+
+# ======================================================================================
+# J: models and evaluation
+# ======================================================================================
+
+def _train_test(spark, sf_dir):
+    from loanflow.plans.ml_ready import gold_to_ml_ready
+
+    return gold_to_ml_ready(gold(spark, sf_dir, keep=["id"]), key="id")
+
+
+def _train_one(name):
+    def run(spark, sf_dir):
+        train, test, _ = _train_test(spark, sf_dir)
+        _, _, metrics = train_and_evaluate(make_classifier(name), name, train.cache(), test.cache())
+        return metrics.withColumnRenamed("model", "model_name")
+    return run
+
+
+for _name, _key in [("LogisticRegression", "train_logistic_regression"), ("LinearSVC", "train_linear_svc"),
+                    ("DecisionTree", "train_decision_tree"), ("RandomForest", "train_random_forest"),
+                    ("GBTClassifier", "train_gbt")]:
+    query(_key)(_train_one(_name))
+
+
+@query("train_and_evaluate")
+def q_train_and_evaluate(spark, sf_dir):
+    train, test, _ = _train_test(spark, sf_dir)
+    _, scored, _ = train_and_evaluate(make_classifier("LogisticRegression"), "LogisticRegression", train, test)
+    return scored
+
+
+@query("probability_score")
+def q_probability_score(spark, sf_dir):
+    train, test, _ = _train_test(spark, sf_dir)
+    model = make_classifier("LogisticRegression").fit(train)
+    pred = model.transform(test)
+    return pred.select(LABEL, evaluate.positive_score(pred).alias("score"), "prediction")
+
+
+@query("feature_importance_topk")
+def q_feature_importance_topk(spark, sf_dir):
+    train, test, _ = _train_test(spark, sf_dir)
+    model = make_classifier("DecisionTree").fit(train)
+    return top_importances(model, train, 15, numeric_names=NUMERIC_FEATURES)
+
+
+@query("auc_roc")
+def q_auc_roc(spark, sf_dir):
+    return evaluate.auc_roc(fx.scored(spark, sf_dir))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    return evaluate.classification_metrics(fx.scored(spark, sf_dir))
+
+
+@query("metrics_by_model")
+def q_metrics_by_model(spark, sf_dir):
+    return evaluate.metrics_by_model(fx.scored(spark, sf_dir))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    return evaluate.roc_curve(fx.scored(spark, sf_dir))
+
+
+# ======================================================================================
+# K: streaming (availableNow runs into fresh folders, then a batch read of the sink)
+# ======================================================================================
+
+def _land_messages(spark, sf_dir, n_files: int = 6, where=None) -> str:
+    path = scratch_path(spark, "messages")
+    msgs = fx.messages(spark, sf_dir)
+    if where is not None:
+        msgs = msgs.where(where)
+    msgs.repartition(n_files).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _await(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _stream_bronze_table(spark, sf_dir, per_trigger: int = 2) -> str:
+    from loanflow.streaming.ingest import stream_bronze
+
+    src = _land_messages(spark, sf_dir)
+    out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger)
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
+    return out
+
+
+@query("message_source")
+def q_message_source(spark, sf_dir):
+    from loanflow.sources.messages import read_messages
+
+    src = _land_messages(spark, sf_dir)
+    out, ck = scratch_path(spark, "raw_stream"), scratch_path(spark, "raw_ckpt")
+    stream = read_messages(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2))
+    _await(files.append_stream(stream.drop("key"), out, ck, trigger={"availableNow": True}))
+    return files.read_table(spark, out).select(
+        "topic", "partition", "offset", "timestamp", F.col("value").isNull().alias("value_is_null"))
+
+
+@query("stream_bronze")
+def q_stream_bronze(spark, sf_dir):
+    return files.read_table(spark, _stream_bronze_table(spark, sf_dir)).drop(INGESTION_TS)
+
+
+@query("stream_append_sink")
+def q_stream_append_sink(spark, sf_dir):
+    return files.read_table(spark, _stream_bronze_table(spark, sf_dir, per_trigger=1)).drop(INGESTION_TS)
+
+
+@query("rate_limit")
+def q_rate_limit(spark, sf_dir):
+    from loanflow.streaming.progress import ingest_progress
+
+    table = files.read_table(spark, _stream_bronze_table(spark, sf_dir, per_trigger=2))
+    return ingest_progress(table).select("batch_rows", "total_rows")
+
+
+@query("table_stream_scan")
+def q_table_stream_scan(spark, sf_dir):
+    path = scratch_path(spark, "bronze_batch")
+    files.write_table(bronze(spark, sf_dir).repartition(4), path)
+    schema = files.read_table(spark, path).schema
+    out, ck = scratch_path(spark, "copy_stream"), scratch_path(spark, "copy_ckpt")
+    src = files.stream_table(spark, path, schema, max_files_per_trigger=1)
+    _await(files.append_stream(src, out, ck, trigger={"availableNow": True}))
+    return no_audit(files.read_table(spark, out))
+
+
+@query("stream_silver")
+def q_stream_silver(spark, sf_dir):
+    from loanflow.streaming.ingest import stream_silver
+
+    bronze_path = _stream_bronze_table(spark, sf_dir)
+    out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
+    _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True}, max_files_per_trigger=2))
+    return no_audit(files.read_table(spark, out))
+
+
+@query("chained_streams")
+def q_chained_streams(spark, sf_dir):
+    from loanflow.streaming.ingest import run_streams, stream_bronze, stream_silver
+
+    src = _land_messages(spark, sf_dir)
+    b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
+    s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
+    qb = stream_bronze(spark, cfg, b_out, b_ck, trigger={"availableNow": True})
+    _await(qb)
+    bronze_schema = files.read_table(spark, b_out).select(*BRONZE_COLUMNS).schema
+    qs = stream_silver(spark, b_out, s_out, s_ck, trigger={"availableNow": True}, bronze_schema=bronze_schema)
+    run_streams(spark, [qs])
+    _await(qs)
+    return no_audit(files.read_table(spark, s_out))
+
+
+@query("restart_from_checkpoint")
+def q_restart_from_checkpoint(spark, sf_dir):
+    from loanflow.streaming.ingest import stream_bronze
+
+    src = scratch_path(spark, "messages")
+    msgs = fx.messages(spark, sf_dir)
+    even = F.col("offset") % 2 == 0
+    msgs.where(even).repartition(3).write.mode("append").parquet(src)
+    out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
+    msgs.where(~even).repartition(3).write.mode("append").parquet(src)  # new files arrive
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # nothing new
+    return files.read_table(spark, out).drop(INGESTION_TS)
+
+
+@query("ingest_progress")
+def q_ingest_progress(spark, sf_dir):
+    from loanflow.streaming.progress import ingest_progress
+
+    return ingest_progress(fx.stamped(spark, sf_dir))
+
+
+# ======================================================================================
+# L: composite layers
+# ======================================================================================
 
 @query("bronze_to_silver")
 def q_bronze_to_silver(spark, sf_dir):
@@ -56,10 +691,53 @@ def q_silver_to_gold(spark, sf_dir):
     return no_audit(gold(spark, sf_dir))
 
 
-# -- E: aggregations ----------------------------------------------------------------------
+@query("backfill")
+def q_backfill(spark, sf_dir):
+    from loanflow.plans.backfill import backfill
+
+    csv = scratch_path(spark, "csv")
+    files.write_loans_csv(fx.loan_bronze(spark, sf_dir).repartition(4), csv)
+    return backfill(spark, csv, scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
+
+
+@query("gold_profile")
+def q_gold_profile(spark, sf_dir):
+    from loanflow.plans.profile import gold_profile
+
+    parts = gold_profile(gold(spark, sf_dir, keep=["id"]).drop("id"))
+    sizes = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
+             for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+@query("gold_to_ml_ready")
+def q_gold_to_ml_ready(spark, sf_dir):
+    from loanflow.plans.ml_ready import gold_to_ml_ready, write_ml_ready
+
+    train, test, model = gold_to_ml_ready(gold(spark, sf_dir, keep=["id"]), key="id")
+    paths = write_ml_ready(train, test, model, scratch_path(spark, "ml_ready"))
+    t = files.read_table(spark, paths["train"]).withColumn("split", F.lit("train"))
+    s = files.read_table(spark, paths["test"]).withColumn("split", F.lit("test"))
+    both = t.unionByName(s)
+    return both.select("split", LABEL, F.round(WEIGHT, 6).alias(WEIGHT),
+                       F.size(encode.as_array("features")).alias("n_slots"))
+
+
+@query("train_all")
+def q_train_all(spark, sf_dir):
+    from loanflow.plans.training import train_all
+
+    train, test, _ = _train_test(spark, sf_dir)
+    board, _, _ = train_all(train, test)
+    return board.withColumnRenamed("model", "model_name")
+
+
+# Flagship: label distribution of Gold with the class weight of each label.
+@query("label_weights")
+def q_label_weights(spark, sf_dir):
+    dist = profile.distribution(gold(spark, sf_dir), LABEL)
+    w = weights.class_weights(features(spark, sf_dir)).select(LABEL, F.round("weight", 6).alias("weight"))
+    return dist.join(w, LABEL).orderBy(LABEL)
 
-@query("label_distribution")
-def q_label_distribution(spark, sf_dir):
-    from loanflow.operators.profile import distribution
 
-    return distribution(gold(spark, sf_dir), "label")
+_ = CLASSIFIERS  # parameter table is part of the public surface

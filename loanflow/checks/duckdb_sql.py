@@ -53,6 +53,24 @@ def lb_select(extra: str = "") -> str:
     return "SELECT " + ",\n  ".join(parts) + "\nFROM orders JOIN customer ON o_custkey = c_custkey"
 
 
+def slb_select() -> str:
+    """Bronze as decoded from the message fixture: bad or missing payload -> all data NULL; Kafka columns."""
+    month = "strftime(o_orderdate, '%b-%Y')"
+    bad = f"(o_orderkey % {fx.BAD_JSON_EVERY} = 0 OR o_orderkey % {fx.NULL_JSON_EVERY} = 0)"
+    parts = []
+    for c in LOAN_COLUMNS:
+        if c in fx.LOAN_BRONZE_EXPRS:
+            e = fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', month)
+            parts.append(f"CASE WHEN {bad} THEN NULL ELSE {e} END AS {qi(c)}")
+        else:
+            parts.append(f"CAST(NULL AS VARCHAR) AS {qi(c)}")
+    parts += [f"'{fx.MESSAGE_TOPIC}' AS kafka_topic",
+              f"CAST(o_orderkey % {fx.MESSAGE_PARTITIONS} AS INTEGER) AS kafka_partition",
+              f"CAST(floor(o_orderkey / {fx.MESSAGE_PARTITIONS}) AS BIGINT) AS kafka_offset",
+              "o_orderdate AS kafka_timestamp"]
+    return "SELECT " + ",\n  ".join(parts) + "\nFROM orders JOIN customer ON o_custkey = c_custkey"
+
+
 def _blank(c: str) -> str:
     return f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END"
 
@@ -71,7 +89,9 @@ def sv_select(src: str = "lb", meta: bool = True) -> str:
         else:
             parts.append(f"{b} AS {qi(c)}")
     body = "SELECT " + ",\n  ".join(parts)
-    if meta:
+    if meta == "src":
+        body += ",\n  kafka_topic, kafka_partition, kafka_offset, kafka_timestamp"
+    elif meta:
         body += (",\n  'backfill_csv' AS kafka_topic, CAST(NULL AS INTEGER) AS kafka_partition,"
                  " CAST(NULL AS BIGINT) AS kafka_offset, CAST(NULL AS TIMESTAMP) AS kafka_timestamp")
     body += f"\nFROM {src}"

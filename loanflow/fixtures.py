@@ -78,10 +78,10 @@ def _loan_rows(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     exprs = []
     for c in LOAN_COLUMNS:
         if c in LOAN_BRONZE_EXPRS:
-            exprs.append(F.expr(LOAN_BRONZE_EXPRS[c].replace("{MMM}", MONTH_TEXT)).alias(c))
+            exprs.append(f"{LOAN_BRONZE_EXPRS[c].replace('{MMM}', MONTH_TEXT)} AS `{c}`")
         else:
-            exprs.append(F.lit(None).cast("string").alias(c))
-    return joined.select(*exprs, *extra)
+            exprs.append(f"CAST(NULL AS STRING) AS `{c}`")
+    return joined.selectExpr(*exprs, *extra)
 
 
 def loan_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def loan_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message-shaped rows (Kafka layout) carrying ``loan_bronze`` as JSON, with planted bad payloads."""
-    raw = _loan_rows(spark, sf_dir, extra=[F.col("o_orderdate").cast("timestamp").alias("_ts")])
+    raw = _loan_rows(spark, sf_dir, extra=["CAST(o_orderdate AS TIMESTAMP) AS _ts"])
     msg = to_messages(raw, MESSAGE_TOPIC, keep=["id", "_ts"])
     k = F.col("id").cast("long")
     value = (F.when(k % BAD_JSON_EVERY == 0, F.lit("{bad").cast("binary"))

@@ -1,10 +1,12 @@
 """Tolerant text-to-type parsing for the Silver layer.
 
 Every function is ``DataFrame -> DataFrame``, touches only the named columns
-that exist, and is a single projection (``withColumns``), so Catalyst sees one
-Project per step instead of one per column.  Malformed values become NULL
-through the ``try_*`` forms, which keeps the functions correct with ANSI mode
-on (the Spark 4 default) without changing the session.
+that exist, and is a single projection, so Catalyst sees one Project per step
+instead of one per column.  Wide projections are written as SQL expression
+text (one ``selectExpr``): the same Catalyst expressions as ``Column``
+objects, built without a driver round trip per column.  Malformed values
+become NULL through the ``try_*`` forms, which keeps the functions correct
+with ANSI mode on (the Spark 4 default) without changing the session.
 """
 
 from __future__ import annotations
@@ -16,6 +18,21 @@ from pyspark.sql.types import StringType
 from loanflow.schema import DATE_COLUMNS, DATE_FORMAT, NUMERIC_COLUMNS, PERCENT_COLUMNS, existing
 
 
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def project(df: DataFrame, replace: dict[str, str], add: dict[str, str] | None = None) -> DataFrame:
+    """One projection: columns in ``replace`` get a new SQL expression, others pass through, ``add`` appends."""
+    exprs = [f"{replace[c]} AS {ident(c)}" if c in replace else ident(c) for c in df.columns]
+    exprs += [f"{e} AS {ident(c)}" for c, e in (add or {}).items()]
+    return df.selectExpr(*exprs)
+
+
 def blank(c: Column) -> Column:
     """True when a text value is empty or spaces only (``trim`` strips spaces, not tabs)."""
     return F.trim(c) == F.lit("")
@@ -26,22 +43,19 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     if not strings:
         return df
-    return df.withColumns({c: F.when(blank(F.col(c)), F.lit(None).cast("string")).otherwise(F.col(c)) for c in strings})
+    return project(df, {c: f"CASE WHEN trim({ident(c)}) = '' THEN NULL ELSE {ident(c)} END" for c in strings})
 
 
 def parse_percent(df: DataFrame, columns=PERCENT_COLUMNS) -> DataFrame:
     """'13.99%' -> 13.99: delete every '%', then a tolerant cast to double."""
-    cols = existing(df, columns)
-    return df.withColumns({c: F.regexp_replace(F.col(c), "%", "").try_cast("double") for c in cols})
+    return project(df, {c: f"try_cast(replace({ident(c)}, '%', '') AS DOUBLE)" for c in existing(df, columns)})
 
 
 def cast_numeric(df: DataFrame, columns=NUMERIC_COLUMNS) -> DataFrame:
     """Tolerant cast to double; text that is not a number becomes NULL."""
-    cols = existing(df, columns)
-    return df.withColumns({c: F.col(c).try_cast("double") for c in cols})
+    return project(df, {c: f"try_cast({ident(c)} AS DOUBLE)" for c in existing(df, columns)})
 
 
 def parse_month_date(df: DataFrame, columns=DATE_COLUMNS, fmt: str = DATE_FORMAT) -> DataFrame:
     """'Dec-2015' -> 2015-12-01; text in another layout becomes NULL."""
-    cols = existing(df, columns)
-    return df.withColumns({c: F.try_to_date(F.col(c), fmt) for c in cols})
+    return project(df, {c: f"try_to_date({ident(c)}, {sql_text(fmt)})" for c in existing(df, columns)})

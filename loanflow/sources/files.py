@@ -34,7 +34,8 @@ def read_loans_csv(spark: SparkSession, path: str, schema=LOAN_SCHEMA) -> DataFr
 def write_loans_csv(df: DataFrame, path: str) -> None:
     """The inverse of ``read_loans_csv`` (header, '"' quote and escape); one file per partition."""
     (df.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"')
-     .option("emptyValue", "").csv(path))
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
