@@ -41,9 +41,16 @@ def quantile_frame(df: DataFrame, col: str, probs, names=None, n_buckets: int |
 
 
 def quantile_bounds(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> tuple[Column, Column]:
-    """(q_lo, q_hi) as scalar-subquery columns."""
-    qf = quantile_frame(df, col, [lo, hi], ["q_lo", "q_hi"])
-    return qf.select("q_lo").scalar(), qf.select("q_hi").scalar()
+    """(q_lo, q_hi) as literal columns.
+
+    The bounds are one row of two doubles, fetched with one small job; using
+    them as literals keeps the full input plan out of every later expression
+    (a scalar subquery would re-plan it at each use).
+    """
+    row = quantile_frame(df.select(col), col, [lo, hi], ["q_lo", "q_hi"]).first()
+    if row is None or row["q_lo"] is None:
+        return F.lit(None).cast("double"), F.lit(None).cast("double")
+    return F.lit(float(row["q_lo"])), F.lit(float(row["q_hi"]))
 
 
 def clip_quantiles(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:

@@ -230,6 +230,7 @@ AUDIT_COLUMNS = [INGESTION_TS, PROCESSING_TS]
 
 # Canonical Bronze order: data columns, message metadata, ingestion stamp.
 BRONZE_COLUMNS = LOAN_COLUMNS + [f.name for f in MESSAGE_META] + [INGESTION_TS]
+BRONZE_SCHEMA = StructType(list(LOAN_SCHEMA.fields) + MESSAGE_META + [StructField(INGESTION_TS, TimestampType(), True)])
 DERIVED_COLUMNS = ["fico_avg", "loan_to_income_ratio", "is_high_risk", "is_charged_off"]
 SILVER_COLUMNS = BRONZE_COLUMNS + DERIVED_COLUMNS + [PROCESSING_TS]
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,8 +42,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for tables a job writes."""
-    root = checkpoint_root(spark)
-    path = f"{root}/loanflow/{name}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark)}/loanflow/{name}-{uuid.uuid4().hex}"
