@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanflow.schema import LOAN_COLUMNS
+from loanflow.sources.files import spread
 from loanflow.sources.messages import to_messages
 
 # FIXED VALUES: the fixture text (loan-shaped rows from orders + customer).
@@ -72,7 +73,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _loan_rows(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     customer = table(spark, sf_dir, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     exprs = []
@@ -112,7 +113,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The two models are a literal array exploded per row - a narrow Generate, not a join.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(s).alias("shift")) for m, s in SCORED_MODELS])
     rows = orders.select("o_orderkey", F.inline(models))
     score = F.expr(SCORE_EXPR)
@@ -127,7 +128,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with a day-grain ``ingestion_timestamp``: each day stands in for one micro-batch."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return events.select(
         "event_id", "user_id",
         F.date_trunc("day", F.col("ts")).cast("timestamp").alias("ingestion_timestamp"),

@@ -38,6 +38,18 @@ def write_loans_csv(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Fan a scan out to the cluster when it yields fewer partitions than there are task slots.
+
+    A large input already has many splits and is returned as it is (no shuffle);
+    a small, single-split input is dealt round-robin so the wide per-row parsing
+    that follows uses every core.  Round-robin after a local sort is
+    deterministic, so retried tasks see the same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
