@@ -306,3 +306,22 @@ oracle("silver_to_gold", with_ctes(f"SELECT {cols(gold_columns())} FROM gd"))
 oracle("label_weights", gold_ctes(
     f"SELECT label, COUNT(*) AS count, {pct('COUNT(*)', N_GOLD)} AS pct, "
     "(SELECT ROUND(weight, 6) FROM cw WHERE cw.label = gd.label) AS weight FROM gd GROUP BY label"))
+
+# ======================================================================================
+# Operators registered through the query that uses them
+# ======================================================================================
+_KIND = {"double": "numeric", "int": "numeric", "long": "numeric", "string": "string"}
+oracle("columns_by_type", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({qi(c)}) AS non_null, '{_KIND[SILVER_TYPES[c]]}' AS kind FROM sv"
+    for kind in ("numeric", "string") for c in SILVER_ORDER if _KIND.get(SILVER_TYPES[c]) == kind)))
+oracle("first_existing_column", ORACLES["time_series_count"])
+oracle("trim", ORACLES["blank_to_null"])
+oracle("typed_null_literals", f"WITH lb AS ({lb_select()}) SELECT id, {BACKFILL_META} FROM lb")
+oracle("audit_timestamp", f"WITH lb AS ({lb_select()}) SELECT COUNT(*) AS n_rows, CAST(1 AS BIGINT) AS "
+                          "n_processing_stamps, CAST(1 AS BIGINT) AS n_ingestion_stamps, CAST(0 AS BIGINT) AS n_missing FROM lb")
+oracle("json_parse", ORACLES["publish_json"])
+oracle("order_by", ORACLES["label_distribution"])
+oracle("limit_n", with_ctes(
+    f"SELECT loan_status, COUNT(*) AS count, {pct('COUNT(*)', N_GOLD)} AS pct FROM gd GROUP BY loan_status "
+    "ORDER BY count DESC, loan_status ASC NULLS FIRST LIMIT 5"))
+oracle("distinct", ORACLES["distinct_pairs"])
