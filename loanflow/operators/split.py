@@ -35,8 +35,19 @@ def split_report(df: DataFrame, split: str = SPLIT, label: str = LABEL) -> DataF
 
 
 def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Distinct rows of ``df`` that are not in ``other`` (null-safe), i.e. EXCEPT DISTINCT."""
-    return df.subtract(other)
+    """Distinct rows of ``df`` that are not in ``other`` (null-safe), i.e. EXCEPT DISTINCT.
+
+    Same result as ``df.subtract(other)``, planned as one aggregation: both sides
+    are tagged, unioned and grouped by every column (grouping is NULL-safe and
+    normalises NaN / -0.0 as EXCEPT does).  One shuffle instead of a join's two
+    plus a distinct, and the map-side partial aggregate collapses copies of a
+    hot row before anything moves.
+    """
+    cols = df.columns
+    left = df.select(*cols, F.lit(1).alias("_in_left"), F.lit(0).alias("_in_right"))
+    right = other.select(*cols, F.lit(0).alias("_in_left"), F.lit(1).alias("_in_right"))
+    seen = left.unionByName(right).groupBy(*cols).agg(F.max("_in_left").alias("_l"), F.max("_in_right").alias("_r"))
+    return seen.where((F.col("_l") == 1) & (F.col("_r") == 0)).select(*cols)
 
 
 def stratified_sample(df: DataFrame, col: str = LABEL, fractions=None, seed: int = 42) -> DataFrame:
