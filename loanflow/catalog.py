@@ -735,9 +735,11 @@ def q_train_all(spark, sf_dir):
 # Flagship: label distribution of Gold with the class weight of each label.
 @query("label_weights")
 def q_label_weights(spark, sf_dir):
-    dist = profile.distribution(gold(spark, sf_dir), LABEL)
-    w = weights.class_weights(features(spark, sf_dir)).select(LABEL, F.round("weight", 6).alias("weight"))
-    return dist.join(w, LABEL).orderBy(LABEL)
+    from loanflow.session import materialize
+
+    counts = materialize(gold(spark, sf_dir).groupBy(LABEL).agg(F.count(F.lit(1)).alias("count")))
+    w = weights.class_weights(None, counts=counts).select(LABEL, F.round("weight", 6).alias("weight"))
+    return with_share(counts).join(w, LABEL).orderBy(LABEL)
 
 
 

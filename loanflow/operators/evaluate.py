@@ -14,10 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanflow.operators.ordered import running_totals
+from loanflow.session import materialize
 
 DIGITS = 6
 
 
+def _count(cond: Column | None = None, weight: str | None = None) -> Column:
+    """Rows (or summed ``weight``) where ``cond`` holds; ``weight`` lets pre-aggregated cells stand for rows."""
+    if weight is None:
+        return F.count(F.lit(1)) if cond is None else F.count(F.when(cond, F.lit(1)))
+    w = F.col(weight)
+    return F.sum(w) if cond is None else F.coalesce(F.sum(F.when(cond, w)), F.lit(0).cast("long"))
+
+
 def positive_score(pred: DataFrame, col: str = "probability", fallback: str = "rawPrediction") -> Column:
     """Score of the positive class: element 1 of ``probability`` (or of ``rawPrediction`` if there is none)."""
     from pyspark.ml.functions import vector_to_array
@@ -32,25 +41,27 @@ def _by(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def confusion_matrix(scored: DataFrame, by="model", label: str = "label", prediction: str = "prediction") -> DataFrame:
+def confusion_matrix(scored: DataFrame, by="model", label: str = "label", prediction: str = "prediction",
+                     weight: str | None = None) -> DataFrame:
     """tn, fp, fn, tp and n per model, with the share of each cell in percent."""
     y, p = F.col(label), F.col(prediction)
     cells = {"tn": (y == 0) & (p == 0), "fp": (y == 0) & (p == 1), "fn": (y == 1) & (p == 0), "tp": (y == 1) & (p == 1)}
-    agg = scored.groupBy(*_by(by)).agg(F.count(F.lit(1)).alias("n"),
-                                       *[F.count(F.when(c, F.lit(1))).alias(k) for k, c in cells.items()])
+    agg = scored.groupBy(*_by(by)).agg(_count(None, weight).alias("n"),
+                                       *[_count(c, weight).alias(k) for k, c in cells.items()])
     return agg.withColumns({
         f"{k}_pct": F.round(F.coalesce(F.try_divide(F.col(k) * 100.0, F.col("n").cast("double")), F.lit(0.0)), DIGITS)
         for k in cells})
 
 
-def classification_metrics(scored: DataFrame, by="model", label: str = "label", prediction: str = "prediction") -> DataFrame:
+def classification_metrics(scored: DataFrame, by="model", label: str = "label", prediction: str = "prediction",
+                           weight: str | None = None) -> DataFrame:
     """accuracy, weighted precision, weighted recall (= accuracy), weighted F1 per model.
 
     Per-class precision/recall/F1 are 0 when undefined; weights are true-class shares.
     """
     by = _by(by)
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    matrix = scored.groupBy(*by, y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    matrix = scored.groupBy(*by, y.alias("y"), p.alias("p")).agg(_count(None, weight).alias("c"))
     # each matrix cell counts toward its true class and its predicted class
     roles = F.array(
         F.struct(F.col("y").alias("cls"), F.col("c").alias("n_true"), F.lit(0).cast("long").alias("n_pred"),
@@ -75,18 +86,20 @@ def classification_metrics(scored: DataFrame, by="model", label: str = "label",
     return agg.select(*by, *[F.round(c, DIGITS).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
 
 
-def _score_counts(scored: DataFrame, by, label: str, score: str) -> DataFrame:
+def _score_counts(scored: DataFrame, by, label: str, score: str, weight: str | None = None) -> DataFrame:
+    """(model, score, pos, neg), checkpointed: bucket splits, offsets and windows all read this small frame."""
     y = F.col(label)
-    return (scored.where(F.col(score).isNotNull())
-            .groupBy(*by, F.col(score).cast("double").alias("score"))
-            .agg(F.count(F.when(y == 1, F.lit(1))).alias("pos"), F.count(F.when(y == 0, F.lit(1))).alias("neg")))
+    counts = (scored.where(F.col(score).isNotNull())
+              .groupBy(*by, F.col(score).cast("double").alias("score"))
+              .agg(_count(y == 1, weight).alias("pos"), _count(y == 0, weight).alias("neg")))
+    return materialize(counts)
 
 
 def auc_roc(scored: DataFrame, by="model", label: str = "label", score: str = "score",
-            n_buckets: int | None = None) -> DataFrame:
+            n_buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact area under the ROC curve per model: sum over scores of pos x (neg below + neg tied / 2) / (P x N)."""
     by = _by(by)
-    counts = _score_counts(scored, by, label, score)
+    counts = _score_counts(scored, by, label, score, weight)
     cum = running_totals(counts, "score", ["neg"], by=by, n_buckets=n_buckets)
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(*by).agg(
@@ -115,11 +128,16 @@ def roc_curve(scored: DataFrame, by="model", label: str = "label", score: str =
 
 def metrics_by_model(scored: DataFrame, by="model", label: str = "label", score: str = "score",
                      prediction: str = "prediction") -> DataFrame:
-    """auc, accuracy, f1, precision, recall, tn, fp, fn, tp: one row per model."""
+    """auc, accuracy, f1, precision, recall, tn, fp, fn, tp: one row per model.
+
+    The scored rows are read once: collapsed to (model, label, prediction, score)
+    cells with a row count, checkpointed, and every metric is computed from the cells.
+    """
     by = _by(by)
-    cm = confusion_matrix(scored, by, label, prediction).select(*by, "tn", "fp", "fn", "tp")
-    cls = classification_metrics(scored, by, label, prediction)
-    auc = auc_roc(scored, by, label, score)
+    cells = materialize(scored.groupBy(*by, label, prediction, score).agg(F.count(F.lit(1)).alias("_n")))
+    cm = confusion_matrix(cells, by, label, prediction, weight="_n").select(*by, "tn", "fp", "fn", "tp")
+    cls = classification_metrics(cells, by, label, prediction, weight="_n")
+    auc = auc_roc(cells, by, label, score, weight="_n")
     return auc.join(cls, on=by).join(cm, on=by).select(
         *by, "auc", "accuracy", "f1", "precision", "recall", "tn", "fp", "fn", "tp")
 

@@ -4,7 +4,9 @@ Scale notes
 -----------
 * Every grouped count is a HashAggregate with a map-side partial step, so a hot
   value (say a third of all rows) costs one partial row per input partition.
-* Shares use a scalar-subquery total (no cross join, no global window).
+* Grouped counts are computed once and checkpointed (``materialize``); totals
+  for shares are scalar subqueries over that small frame, so the source is
+  scanned once (no cross join, no global window, no second pass).
 * Top-k per column is two-staged: rank within (column, hash bucket of value),
   keep k per bucket, then rank the <= k * buckets survivors per column.  No
   task ever holds all distinct values of a high-cardinality column.
@@ -15,8 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanflow.functions.shares import percent, row_total, with_share
+from loanflow.functions.shares import percent, with_share
 from loanflow.schema import LABEL, existing
+from loanflow.session import materialize
 
 TOPK_BUCKETS = 64
 
@@ -28,7 +31,7 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def distribution(df: DataFrame, col: str = LABEL) -> DataFrame:
     """Rows per value of ``col`` with percent of all rows, ordered by value."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    counts = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
     return with_share(counts).orderBy(col)
 
 
@@ -37,9 +40,9 @@ def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each partition keeps its k best.
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    counts = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
     top = counts.orderBy(F.desc("count"), F.col(col).asc_nulls_first()).limit(k)
-    return top.withColumn("pct", percent(F.col("count"), row_total(df)))
+    return top.withColumn("pct", percent(F.col("count"), counts.select(F.sum("count")).scalar()))
 
 
 def _unpivot_text(df: DataFrame, columns) -> DataFrame:
@@ -68,9 +71,11 @@ def categorical_profile(df: DataFrame, columns, k: int = 10) -> DataFrame:
     """For each column: its k most frequent values, count and percent of all rows - one scan for all columns."""
     cols = existing(df, columns)
     long = _unpivot_text(df, cols)
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
-    top = top_k_per_group(counts, "column_name", "value", k)
-    return top.withColumn("pct", percent(F.col("count"), row_total(df))).select(
+    counts = materialize(long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count")))
+    # every column's counts add up to the row count
+    totals = counts.groupBy("column_name").agg(F.sum("count").alias("_rows"))
+    top = top_k_per_group(counts, "column_name", "value", k).join(totals, "column_name")
+    return top.withColumn("pct", percent(F.col("count"), F.col("_rows"))).select(
         "column_name", "rank", "value", "count", "pct")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanflow.operators.ordered import running_totals
+from loanflow.session import materialize
 
 
 def quantile_frame(df: DataFrame, col: str, probs, names=None, n_buckets: int | None = None) -> DataFrame:
@@ -21,7 +22,7 @@ def quantile_frame(df: DataFrame, col: str, probs, names=None, n_buckets: int |
     names = list(names or [f"q{i}" for i in range(len(probs))])
     v = F.col(col).cast("double")
     values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    distinct = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    distinct = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     cum = running_totals(distinct, "v", ["n"], n_buckets=n_buckets)
     total = distinct.select(F.sum("n")).scalar()
     aggs = []

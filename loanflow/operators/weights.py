@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanflow.schema import LABEL, WEIGHT
+from loanflow.session import materialize
 
 MAX_CLASSES = 10_000
 
 
-def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """(label, count, weight) per class; one grouped aggregate, totals as scalar subqueries."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+def class_weights(df: DataFrame, label: str = LABEL, counts: DataFrame | None = None) -> DataFrame:
+    """(label, count, weight) per class.
+
+    One grouped aggregate, checkpointed; total and class count are scalar
+    subqueries over that small frame.  Pass ``counts`` (label, count) to reuse
+    counts that are already computed.
+    """
+    if counts is None:
+        counts = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("count")))
     total = counts.select(F.sum("count")).scalar()
     n_classes = counts.select(F.count(F.lit(1))).scalar()
     return counts.withColumn("weight", total.cast("double") / (n_classes * F.col("count")).cast("double"))

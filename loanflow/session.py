@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "loanflow") -> SparkSession:
@@ -43,3 +43,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for tables a job writes."""
     return f"{checkpoint_root(spark)}/loanflow/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used on grouped results that several later steps read (totals, offsets,
+    split points): they then read the small checkpointed frame instead of
+    re-running the scan and parse that produced it.  Survives executor loss
+    (the data is in the shared folder, not on an executor).
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
