@@ -82,7 +82,9 @@ def features(spark: SparkSession, sf_dir: str, keep=("id",)) -> DataFrame:
 
 
 def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.hash_split(weights.with_class_weight(features(spark, sf_dir)), "id")
+    """Features with class weight and split, staged once: fitting passes read the compact table."""
+    staged = files.stage_table(features(spark, sf_dir), "features")
+    return split.hash_split(weights.with_class_weight(staged), "id")
 
 
 # ======================================================================================

@@ -16,14 +16,15 @@ from loanflow.operators.encode import featurize
 from loanflow.operators.split import SPLIT, hash_split, sample_and_subtract
 from loanflow.operators.weights import with_class_weight
 from loanflow.schema import LABEL, WEIGHT
-from loanflow.sources.files import DEFAULT_FORMAT, save_pipeline, write_table
+from loanflow.sources.files import DEFAULT_FORMAT, save_pipeline, stage_table, write_table
 
 
 def gold_to_ml_ready(gold: DataFrame, key: str = "id", frac: float = 0.8, seed: int = 42,
                      parity: bool = False):
     """Returns (train, test, pipeline_model); train/test hold features, label, classWeight."""
     selected = select_features(drop_leakage_columns(gold, keep=[key]), keep=[key])
-    weighted = with_class_weight(selected)
+    # weights, indexer fit, scaler fit and both splits all read this compact table
+    weighted = with_class_weight(stage_table(selected, "features"))
     if parity:
         ready, model = featurize(weighted.drop(key), fit_on="all")
         train, test = sample_and_subtract(ready, LABEL, {0: frac, 1: frac}, seed)

@@ -50,6 +50,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+def stage_table(df: DataFrame, name: str = "stage", fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder and read it back.
+
+    For frames that several fitting passes read: the passes scan a compact,
+    column-pruned table instead of re-running the parse that built it, and the
+    lineage is cut (a lost executor re-reads the table, it does not recompute).
+    """
+    from loanflow.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.format(fmt).mode("overwrite").save(path)
+    return df.sparkSession.read.format(fmt).load(path)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
