@@ -569,6 +569,11 @@ def _land_messages(spark, sf_dir, n_files: int = 6, where=None) -> str:
     return path
 
 
+def _slots(spark) -> int:
+    """Task slots of the cluster: how many tasks should decode one micro-batch."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _await(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
@@ -580,7 +585,7 @@ def _stream_bronze_table(spark, sf_dir, per_trigger: int = 2) -> str:
 
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger)
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger, min_partitions=_slots(spark))
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     return out
 
@@ -632,7 +637,9 @@ def q_stream_silver(spark, sf_dir):
 
     bronze_path = _stream_bronze_table(spark, sf_dir)
     out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True}, max_files_per_trigger=2))
+    # a Bronze micro-batch lands one file per decoding task: one Silver trigger takes about one Bronze batch
+    _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True},
+                         max_files_per_trigger=_slots(spark)))
     return no_audit(files.read_table(spark, out))
 
 
@@ -644,14 +651,14 @@ def q_chained_streams(spark, sf_dir):
     src = _land_messages(spark, sf_dir)
     b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_slots(spark))
     once = {"availableNow": True}
     qb = stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
-    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2)
+    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_slots(spark))
     _await(qb)
     _await(qs)
     # Silver saw what Bronze had landed when it started; a restart on its checkpoint takes the rest.
-    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2))
+    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_slots(spark)))
     return no_audit(files.read_table(spark, s_out))
 
 
@@ -664,7 +671,7 @@ def q_restart_from_checkpoint(spark, sf_dir):
     even = F.col("offset") % 2 == 0
     msgs.where(even).repartition(3).write.mode("append").parquet(src)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_slots(spark))
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     msgs.where(~even).repartition(3).write.mode("append").parquet(src)  # new files arrive
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes
