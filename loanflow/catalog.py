@@ -81,10 +81,15 @@ def features(spark: SparkSession, sf_dir: str, keep=("id",)) -> DataFrame:
     return cols_op.select_features(cols_op.drop_leakage_columns(g, keep=keep), keep=keep)
 
 
+def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written once as a compact table: a fit pass and the transform after it read this,
+    not the raw rows twice."""
+    return files.stage_table(features(spark, sf_dir), "features")
+
+
 def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with class weight and split, staged once: fitting passes read the compact table."""
-    staged = files.stage_table(features(spark, sf_dir), "features")
-    return split.hash_split(weights.with_class_weight(staged), "id")
+    return split.hash_split(weights.with_class_weight(staged_features(spark, sf_dir)), "id")
 
 
 # ======================================================================================
@@ -436,7 +441,7 @@ def _fitted(spark, sf_dir, fit_on="all"):
 
 @query("string_index")
 def q_string_index(spark, sf_dir):
-    f = features(spark, sf_dir)
+    f = staged_features(spark, sf_dir)
     cats = existing(f, CATEGORICAL_FEATURES)
     indexed = encode.index_categories(f, cats)
     per_col = [indexed.select(F.lit(c).alias("column_name"), F.col(c).alias("value"),
@@ -446,7 +451,7 @@ def q_string_index(spark, sf_dir):
 
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
-    f = features(spark, sf_dir)
+    f = staged_features(spark, sf_dir)
     cats = existing(f, CATEGORICAL_FEATURES)
     enc = encode.one_hot(encode.index_categories(f, cats), cats)
     per_col = []
@@ -468,7 +473,7 @@ def q_assemble_numeric(spark, sf_dir):
 
 @query("standard_scale")
 def q_standard_scale(spark, sf_dir):
-    f = features(spark, sf_dir)
+    f = staged_features(spark, sf_dir)
     nums = existing(f, NUMERIC_FEATURES)
     scaled = encode.scale(encode.assemble(f, nums, "numeric_vec"), "numeric_vec", "numeric_scaled")
     exploded = scaled.select("id", F.posexplode(encode.as_array("numeric_scaled")).alias("slot", "value"))
