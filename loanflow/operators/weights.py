@@ -30,18 +30,23 @@ def with_class_weight(df: DataFrame, label: str = LABEL, out: str = WEIGHT,
     """Attach the class weight to every row.
 
     The class table is bounded by the number of classes (checked against
-    ``max_classes``), so it is fetched once and applied as a literal map: a
-    row-local lookup, no join and no shuffle of the large side.  Works for any
-    number of classes, not just 0/1.
+    ``max_classes``): one grouped count (map-side combined) returns at most
+    ``max_classes + 1`` rows, the weights follow from those counts, and they
+    are applied as a literal map - a row-local lookup, no join and no shuffle
+    of the large side.  Works for any number of classes, not just 0/1.
+    Rows whose label is NULL get a NULL weight.
     """
-    rows = class_weights(df, label).select(label, "weight").limit(max_classes + 1).collect()
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("count")).limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label!r}")
+    total, n_classes = sum(r["count"] for r in rows), len(rows)
     pairs = []
     for r in rows:
-        pairs += [F.lit(r[label]), F.lit(float(r["weight"]))]
-    lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,double>")
-    return df.withColumn(out, F.element_at(lookup, F.col(label)) if rows else F.lit(None).cast("double"))
+        if r[label] is not None:
+            pairs += [F.lit(r[label]), F.lit(float(total) / float(n_classes * r["count"]))]
+    if not pairs:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    return df.withColumn(out, F.element_at(F.create_map(*pairs), F.col(label)))
 
 
 def distinct_pairs(df: DataFrame, cols) -> DataFrame:
