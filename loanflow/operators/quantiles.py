@@ -17,12 +17,25 @@ from loanflow.operators.ordered import running_totals
 from loanflow.session import materialize
 
 
-def quantile_frame(df: DataFrame, col: str, probs, names=None, n_buckets: int | None = None) -> DataFrame:
-    """One row, one column per probability: the exact linear-interpolated quantiles of the non-NULL values."""
-    names = list(names or [f"q{i}" for i in range(len(probs))])
+def value_counts(df: DataFrame, col: str) -> DataFrame:
+    """(v, n): each distinct non-NULL, non-NaN value of ``col`` as a double with its row count, checkpointed.
+
+    Map-side combined, so a value that holds a third of all rows is one row per
+    partition before the shuffle.  Quantiles and histograms both read this frame.
+    """
     v = F.col(col).cast("double")
     values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    distinct = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    return materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def quantile_frame(df: DataFrame | None, col: str, probs, names=None, n_buckets: int | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
+    """One row, one column per probability: the exact linear-interpolated quantiles of the non-NULL values.
+
+    Pass ``counts`` (from ``value_counts``) to reuse value counts already computed.
+    """
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    distinct = counts if counts is not None else value_counts(df, col)
     cum = running_totals(distinct, "v", ["n"], n_buckets=n_buckets)
     total = distinct.select(F.sum("n")).scalar()
     aggs = []
@@ -41,14 +54,16 @@ def quantile_frame(df: DataFrame, col: str, probs, names=None, n_buckets: int |
     ])
 
 
-def quantile_bounds(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> tuple[Column, Column]:
+def quantile_bounds(df: DataFrame | None, col: str, lo: float = 0.01, hi: float = 0.99,
+                    counts: DataFrame | None = None) -> tuple[Column, Column]:
     """(q_lo, q_hi) as literal columns.
 
     The bounds are one row of two doubles, fetched with one small job; using
     them as literals keeps the full input plan out of every later expression
     (a scalar subquery would re-plan it at each use).
     """
-    row = quantile_frame(df.select(col), col, [lo, hi], ["q_lo", "q_hi"]).first()
+    src = None if counts is not None else df.select(col)
+    row = quantile_frame(src, col, [lo, hi], ["q_lo", "q_hi"], counts=counts).first()
     if row is None or row["q_lo"] is None:
         return F.lit(None).cast("double"), F.lit(None).cast("double")
     return F.lit(float(row["q_lo"])), F.lit(float(row["q_hi"]))
@@ -65,14 +80,17 @@ def histogram(df: DataFrame, col: str, bins: int = 40, lo: float = 0.01, hi: flo
               digits: int = 6) -> DataFrame:
     """Equal-width histogram of ``col`` over its [q_lo, q_hi] range: (bin, bin_lo, bin_hi, count), all bins.
 
-    Full data, not a sample; the bin index is row-local, the count a grouped aggregate.
+    Full data, not a sample.  The input is read once: its (value, count) table
+    gives both the exact quantile bounds and the bin counts (a bin's count is the
+    sum of the counts of the distinct values in it).
     """
-    q_lo, q_hi = quantile_bounds(df, col, lo, hi)
+    counts = value_counts(df, col)
+    q_lo, q_hi = quantile_bounds(None, col, lo, hi, counts=counts)
     width = (q_hi - q_lo) / F.lit(float(bins))
-    x = F.col(col).cast("double")
-    kept = df.where(x.isNotNull() & ~F.isnan(x) & (x >= q_lo) & (x <= q_hi))
+    x = F.col("v")
+    kept = counts.where((x >= q_lo) & (x <= q_hi))
     idx = F.when(width > 0, F.least(F.floor((x - q_lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counts = kept.groupBy(idx.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    binned = kept.groupBy(idx.cast("long").alias("bin")).agg(F.sum("n").alias("count"))
     spark = df.sparkSession
     all_bins = spark.range(bins).withColumnRenamed("id", "bin")
     edges = all_bins.select(
@@ -80,5 +98,5 @@ def histogram(df: DataFrame, col: str, bins: int = 40, lo: float = 0.01, hi: flo
         F.round(q_lo + F.col("bin") * width, digits).alias("bin_lo"),
         F.round(q_lo + (F.col("bin") + 1) * width, digits).alias("bin_hi"),
     )
-    return (edges.join(counts, "bin", "left")
-            .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0)).alias("count")))
+    return (edges.join(binned, "bin", "left")
+            .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0).cast("long")).alias("count")))
