@@ -574,9 +574,18 @@ def _land_messages(spark, sf_dir, n_files: int = 6, where=None) -> str:
     return path
 
 
-def _slots(spark) -> int:
-    """Task slots of the cluster: how many tasks should decode one micro-batch."""
-    return spark.sparkContext.defaultParallelism
+DECODE_TASKS_PER_FILE = 4
+
+
+def _decode_tasks(spark, files_per_trigger: int) -> int:
+    """Tasks that decode one micro-batch: a few per input file of the trigger, at most the cluster's slots.
+
+    Proportional to what one trigger reads, so a large cluster does not split a
+    small capped batch into thousands of near-empty tasks.  A Bronze batch lands
+    one file per decoding task, so this is also how many Bronze files one Silver
+    trigger takes to see about one Bronze batch.
+    """
+    return max(1, min(spark.sparkContext.defaultParallelism, DECODE_TASKS_PER_FILE * files_per_trigger))
 
 
 def _await(q) -> None:
@@ -590,7 +599,8 @@ def _stream_bronze_table(spark, sf_dir, per_trigger: int = 2) -> str:
 
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger, min_partitions=_slots(spark))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger,
+                       min_partitions=_decode_tasks(spark, per_trigger))
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     return out
 
@@ -644,7 +654,7 @@ def q_stream_silver(spark, sf_dir):
     out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
     # a Bronze micro-batch lands one file per decoding task: one Silver trigger takes about one Bronze batch
     _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True},
-                         max_files_per_trigger=_slots(spark)))
+                         max_files_per_trigger=_decode_tasks(spark, 2)))
     return no_audit(files.read_table(spark, out))
 
 
@@ -656,14 +666,14 @@ def q_chained_streams(spark, sf_dir):
     src = _land_messages(spark, sf_dir)
     b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_slots(spark))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_decode_tasks(spark, 2))
     once = {"availableNow": True}
     qb = stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
-    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_slots(spark))
+    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_decode_tasks(spark, 2))
     _await(qb)
     _await(qs)
     # Silver saw what Bronze had landed when it started; a restart on its checkpoint takes the rest.
-    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_slots(spark)))
+    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_decode_tasks(spark, 2)))
     return no_audit(files.read_table(spark, s_out))
 
 
@@ -676,7 +686,7 @@ def q_restart_from_checkpoint(spark, sf_dir):
     even = F.col("offset") % 2 == 0
     msgs.where(even).repartition(3).write.mode("append").parquet(src)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_slots(spark))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_decode_tasks(spark, 2))
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     msgs.where(~even).repartition(3).write.mode("append").parquet(src)  # new files arrive
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes

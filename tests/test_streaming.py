@@ -54,3 +54,21 @@ def test_ingest_progress_on_stamped_events(spark, sf_small):
     rows = ingest_progress(fx.stamped(spark, sf_small)).orderBy("batch_time").collect()
     assert rows[-1].total_rows == 1000
     assert all(r.total_rows == sum(x.batch_rows for x in rows[: i + 1]) for i, r in enumerate(rows))
+
+
+def test_spread_decode_keeps_batches_and_rows(spark, sf_small):
+    """min_partitions spreads each trigger's decode over more tasks; batches and rows are unchanged."""
+    import os
+
+    src = land(spark, sf_small, n_files=6)
+    out, ck = scratch_path(spark, "b"), scratch_path(spark, "bck")
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=3)
+    q = stream_bronze(spark, cfg, out, ck, ONCE)
+    q.awaitTermination()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert len(sizes) == 3 and sum(sizes) == 1500  # 6 files, 2 per trigger, as without spreading
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 9  # 3 batches x 3 decoding tasks, one file each
+    table = files.read_table(spark, out)
+    assert table.count() == 1500 and table.select("kafka_partition", "kafka_offset").distinct().count() == 1500
+    assert len(ingest_progress(table).collect()) == 3
