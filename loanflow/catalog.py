@@ -728,7 +728,9 @@ def q_backfill(spark, sf_dir):
 def q_gold_profile(spark, sf_dir):
     from loanflow.plans.profile import gold_profile
 
-    parts = gold_profile(gold(spark, sf_dir, keep=["id"]).drop("id"))
+    # Gold is a table in the reference; profile a written copy, not twelve re-parses of the raw rows
+    table = files.stage_table(gold(spark, sf_dir, keep=["id"]).drop("id"), "gold")
+    parts = gold_profile(table)
     sizes = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
              for name, df in parts.items()]
     return reduce(DataFrame.unionByName, sizes)
