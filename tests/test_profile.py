@@ -56,3 +56,18 @@ def test_class_balance_and_distribution(spark):
 def test_share_of_empty_total_is_zero(spark):
     counts = spark.createDataFrame([("a", 0)], "k string, count long")
     assert with_share(counts).first().pct == 0.0
+
+
+def test_gold_profile_dominant_is_categorical_rank_one(spark, sf_small):
+    from loanflow import catalog
+    from loanflow.operators.profile import dominant_values
+    from loanflow.plans.profile import gold_profile
+    from loanflow.schema import PROFILE_CATEGORICALS
+
+    g = catalog.gold(spark, sf_small)
+    parts = gold_profile(g)
+    assert {"shape", "schema", "categorical", "dominant", "histogram", "status_top"} <= set(parts)
+    got = parts["dominant"].select("column_name", "value", "count", "pct")
+    want = dominant_values(g, PROFILE_CATEGORICALS).select("column_name", "value", "count", "pct")
+    assert got.count() == len(PROFILE_CATEGORICALS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
