@@ -50,3 +50,5 @@ def test_reconcile_counts(spark):
     a = spark.range(5)
     r = reconcile_counts(a, a, a.limit(4)).first()
     assert (r.raw_count, r.bronze_count, r.silver_count, r.consistent) == (5, 5, 4, False)
+    r = reconcile_counts(5, a, a).first()  # a count observed during a write stands in for a frame
+    assert (r.raw_count, r.bronze_count, r.silver_count, r.consistent) == (5, 5, 5, True)
