@@ -165,13 +165,14 @@ def q_count_reconcile(spark, sf_dir):
 @query("model_save_load")
 def q_model_save_load(spark, sf_dir):
     df = weighted_split(spark, sf_dir)
-    ready, model = encode.featurize(df, fit_on="train", keep=("id", LABEL))
+    _, model = encode.featurize(df, fit_on="train", keep=("id", LABEL))
     path = scratch_path(spark, "pipeline")
     files.save_pipeline(model, path)
     reloaded = files.load_pipeline(path)
-    again = reloaded.transform(df).select("id", F.col("features").alias("features_reloaded"))
-    both = ready.join(again, "id")
-    same = F.aggregate(F.zip_with(encode.as_array("features"), encode.as_array("features_reloaded"),
+    # both models transform the same rows in one row-local pass: no join on id, no shuffle
+    first = model.transform(df).select(*df.columns, F.col("features").alias("features_fitted"))
+    both = reloaded.transform(first).select("id", LABEL, "features_fitted", F.col("features").alias("features_reloaded"))
+    same = F.aggregate(F.zip_with(encode.as_array("features_fitted"), encode.as_array("features_reloaded"),
                                   lambda a, b: F.abs(a - b)), F.lit(0.0), lambda acc, x: F.greatest(acc, x))
     return both.select("id", LABEL, (same < 1e-12).alias("same_features"))
 
@@ -444,9 +445,10 @@ def q_string_index(spark, sf_dir):
     f = staged_features(spark, sf_dir)
     cats = existing(f, CATEGORICAL_FEATURES)
     indexed = encode.index_categories(f, cats)
-    per_col = [indexed.select(F.lit(c).alias("column_name"), F.col(c).alias("value"),
-                              F.col(f"{c}_idx").alias("idx")).distinct() for c in cats]
-    return reduce(DataFrame.unionByName, per_col)
+    # one scan and one shuffle for all columns: (column, value, index) per row and column, then distinct
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                               F.col(f"{c}_idx").alias("idx")) for c in cats])
+    return indexed.select(F.inline(pairs)).distinct()
 
 
 @query("one_hot")
@@ -454,13 +456,13 @@ def q_one_hot(spark, sf_dir):
     f = staged_features(spark, sf_dir)
     cats = existing(f, CATEGORICAL_FEATURES)
     enc = encode.one_hot(encode.index_categories(f, cats), cats)
-    per_col = []
+    # one scan and one shuffle for all columns, as in string_index
+    structs = []
     for c in cats:
         arr = encode.as_array(f"{c}_ohe")
-        per_col.append(enc.select(
-            F.lit(c).alias("column_name"), F.col(c).alias("value"), F.size(arr).alias("size"),
-            (F.array_position(arr, F.lit(1.0)) - 1).alias("active")).distinct())
-    return reduce(DataFrame.unionByName, per_col)
+        structs.append(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), F.size(arr).alias("size"),
+                                (F.array_position(arr, F.lit(1.0)) - 1).alias("active")))
+    return enc.select(F.inline(F.array(*structs))).distinct()
 
 
 @query("assemble_numeric")
@@ -778,12 +780,12 @@ def q_label_weights(spark, sf_dir):
 def q_columns_by_type(spark, sf_dir):
     """B6: numeric and string columns found from the Silver schema, with non-NULL counts over all rows."""
     s = no_audit(silver(spark, sf_dir))
-    picked = {"numeric": cols_op.numeric_columns(s), "string": cols_op.string_columns(s)}
-    parts = []
-    for kind, names in picked.items():
-        counts = s.agg(*[F.count(F.col(c)).alias(c) for c in names])
-        parts.append(counts.unpivot([], names, "column_name", "non_null").withColumn("kind", F.lit(kind)))
-    return reduce(DataFrame.unionByName, parts)
+    numeric, strings = cols_op.numeric_columns(s), cols_op.string_columns(s)
+    names = numeric + strings
+    # one aggregate over both kinds: Silver is read once
+    counts = s.agg(*[F.count(F.col(c)).alias(c) for c in names])
+    kind = F.when(F.col("column_name").isin(*numeric), F.lit("numeric")).otherwise(F.lit("string"))
+    return counts.unpivot([], names, "column_name", "non_null").withColumn("kind", kind)
 
 
 @query("first_existing_column")
