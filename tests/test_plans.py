@@ -30,3 +30,21 @@ def test_windows_are_partitioned(spark, sf_small):
         for line in p.split("\n"):
             if line.strip().startswith("+- Window") or line.strip().startswith("Window"):
                 assert ", [], [" not in line, line
+
+
+def test_single_pass_forms(spark, sf_small):
+    """Each input is scanned once; the pipeline save/load check needs no join."""
+    import re
+
+    def scans(p):
+        return len(re.findall(r"Scan parquet", p))
+
+    def joins(p):
+        return len(re.findall(r"SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin", p))
+
+    for name in ["string_index", "one_hot"]:  # one scan of the staged feature table for all columns
+        assert scans(plan(catalog.REGISTRY[name](spark, sf_small))) == 1, name
+    p = plan(catalog.REGISTRY["model_save_load"](spark, sf_small))
+    assert scans(p) == 1 and joins(p) == 0
+    p = plan(catalog.REGISTRY["columns_by_type"](spark, sf_small))
+    assert scans(p) == 2 and joins(p) == 1  # orders and customer once each, the fixture's join only
