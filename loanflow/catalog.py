@@ -510,7 +510,13 @@ def _train_test(spark, sf_dir):
 def _train_one(name):
     def run(spark, sf_dir):
         train, test, _ = _train_test(spark, sf_dir)
-        _, _, metrics = train_and_evaluate(make_classifier(name), name, train.cache(), test.cache())
+        train, test = train.cache(), test.cache()
+        try:
+            _, _, metrics = train_and_evaluate(make_classifier(name), name, train, test)
+        finally:
+            # the metrics frame reads the checkpointed evaluation cells, not train/test: free the caches
+            train.unpersist()
+            test.unpersist()
         return metrics.withColumnRenamed("model", "model_name")
     return run
 
