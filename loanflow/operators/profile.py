@@ -52,13 +52,25 @@ def _unpivot_text(df: DataFrame, columns) -> DataFrame:
         [], cols, "column_name", "value")
 
 
+def topk_bucket_count(df: DataFrame, buckets: int | None = None) -> int:
+    """Hash buckets per group for stage 1: at least ``TOPK_BUCKETS``, more on a wider shuffle."""
+    if buckets:
+        return int(buckets)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return max(TOPK_BUCKETS, parts)
+
+
 def top_k_per_group(counts: DataFrame, group: str, value: str, k: int, count_col: str = "count",
-                    buckets: int = TOPK_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Top ``k`` rows per ``group`` by count desc, value asc, with ``rank`` 1..k.
 
     Stage 1 keeps k per (group, hash(value) % buckets); stage 2 ranks the
     survivors per group.  Exact: a global top-k row is top-k in its bucket.
+    The bucket count follows the shuffle width, so a column with billions of
+    distinct values is spread over as many sort tasks as the cluster runs, and
+    stage 2 sees at most k x buckets rows per group.
     """
+    buckets = topk_bucket_count(counts, buckets)
     order = [F.desc(count_col), F.col(value).asc_nulls_first()]
     bucket = F.pmod(F.xxhash64(F.col(value)), F.lit(buckets))
     w1 = Window.partitionBy(group, bucket.alias("_b")).orderBy(*order)
