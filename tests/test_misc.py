@@ -7,7 +7,7 @@ from loanflow import catalog
 from loanflow.operators.columns import columns_of, first_existing, preview, schema_profile
 from loanflow.plans.backfill import backfill
 from loanflow.plans.silver import bronze_to_silver
-from loanflow.schema import LOAN_COLUMNS, PROCESSING_TS
+from loanflow.schema import PROCESSING_TS
 from loanflow.session import scratch_path
 from loanflow.sources import files
 from loanflow.sources.messages import with_backfill_metadata

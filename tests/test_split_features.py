@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from loanflow import catalog
-from loanflow.operators.encode import feature_pipeline, featurize, fit_index, one_hot, index_categories
+from loanflow.operators.encode import featurize, fit_index, one_hot
 from loanflow.operators.split import except_distinct, hash_split, sample_and_subtract
 from loanflow.operators.weights import class_weights, with_class_weight
 
