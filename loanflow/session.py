@@ -8,10 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "loanflow") -> SparkSession:
-    """Session for tests and the bench. On a cluster, use the session you are given."""
+def local_session(cores: int | str = "*", app: str = "loanflow", extra: dict | None = None) -> SparkSession:
+    """Session for tests and the bench. On a cluster, use the session you are given.
+
+    ``extra`` adds settings (for example an event log folder for ``tools/eventlog.py``).
+    """
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
