@@ -67,3 +67,10 @@ def test_feature_importances_named(spark, sf_small):
 def test_chained_streams(spark, sf_small):
     df = catalog.REGISTRY["chained_streams"](spark, sf_small)
     assert df.count() == 1500 and len(df.columns) == 159
+
+
+def test_model_scoring_after_backfill_in_same_session(spark, sf_small):
+    """The backfill must leave the session usable for ML scoring (no Observation: see plans/backfill.py)."""
+    catalog.REGISTRY["backfill"](spark, sf_small).collect()
+    r = catalog.REGISTRY["train_logistic_regression"](spark, sf_small).first()
+    assert r.tn + r.fp + r.fn + r.tp > 0
