@@ -6,9 +6,10 @@ that is, when their distance is at most r = 0.25.  Documents with equal sets are
 1. Cells.  Most documents are at distance 1 from nearly all others, where no document pivot
    tells them apart.  So the first pivots are single shingles, in one global order (shingles that are frequent in the
    corpus last): two linked documents share a shingle among the first n - ceil(0.75 n) + 1 of each, so a
-   document is replicated to the cells of that many pivots.  A cell is streamed in order; its first class is its pivot
-   document, and only star edges to it are kept, never pairs.
-2. Regions.  The connected components of the star edges are the Voronoi regions: each link lies within one
+   document is replicated to the cells of that many pivots.  Two classes in a cell are candidates.  How many cells
+   they share bounds their intersection from above, which rules out nearly all that do not link.  A cell
+   of more than ``CELL_MATES`` classes, and every cell of a frequent shingle, gives a chain of edges in place of pairs.
+2. Regions.  The connected components of the candidates left are the Voronoi regions: each link lies within one
    region.  A region is joined by itself.
 3. A region joins recursively around pivot documents.  Let d be the distance to the pivot.  Documents with d <= r
    link to the pivot; two of them are connected and need no comparison.  The others may link to one of
@@ -45,6 +46,8 @@ BLOCK = 256
 CELL_BITS = (16, 30)
 #: A cell is frequent with more than this many shingles, and four times the mean.
 FREQUENT = 16
+#: Classes that one class is compared with in a cell; cells with more are chained.
+CELL_MATES = 32
 #: Cells of frequent shingles are dealt to so many tasks each.
 SALTS = 16
 MEET = "array<struct<i:int,both:boolean,j:int>>"
@@ -218,59 +221,97 @@ def _has_bit(table: np.ndarray, cell: np.ndarray) -> np.ndarray:
 
 
 def cells_of(docs: DataFrame, bits: int, hot) -> DataFrame:
-    """(shingle, salt, cls): each class in the cells of its first shingles; salt spreads cells of frequent shingles."""
+    """(shingle, salt, cls, n, after): each class in the cells of its first shingles.  Salt spreads cells of frequent
+    shingles (-1: not one); ``after``: how many shingles of the class come after those of its infrequent cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(hot.value, np.uint8), set()
         for b in _batched(batches):
-            shingles, salts, names = [], [], []
+            cols: list[list[np.ndarray]] = [[], [], [], [], []]
             for s in shingle_sets(b.column("text").to_pylist()):
                 if not len(s) or (name := class_name(s)) in seen:
                     continue
                 seen.add(name)
                 frequent = _has_bit(table, s >> _U(64 - bits))
-                p = prefix_length(len(s))
-                first = np.r_[s[~frequent], s[frequent]][:p]
-                shingles.append(first)
-                salts.append(np.where(np.arange(p) < (~frequent).sum(), -1, name % SALTS).astype(np.int8))
-                names.append(np.full(p, name, np.int64))
-            if shingles:
-                yield pa.record_batch([pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(names))], names=["shingle", "salt", "cls"])
+                p, common = prefix_length(len(s)), s[~frequent]
+                own = min(p, len(common))
+                first = np.r_[common[:own], s[frequent][:p - own]]
+                for col, x in zip(cols, (first.view(np.int64), np.where(np.arange(p) < own, -1, name % SALTS).astype(np.int8), np.full(p, name, np.int64),
+                                         np.full(p, len(s), np.int32), np.full(p, len(s) - own, np.int32)), strict=True):
+                    col.append(x)
+            if cols[0]:
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["shingle", "salt", "cls", "n", "after"])
+
+    return docs.mapInArrow(run, "shingle long, salt byte, cls long, n int, after int")
+
+
+def _cell_pairs(rows: dict[str, np.ndarray], at: np.ndarray, fresh: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """(i, j, sure) of the pairs that rows j (where ``fresh``) make with earlier rows i of their cell; ``at``: a row's place in its cell."""
+    out = []
+    salted = rows["salt"] >= 0
+    for lag in range(1, CELL_MATES + 1):
+        j = np.flatnonzero(fresh & (at >= lag))
+        if not len(j):
+            break
+        i = j - lag
+        sure = (at[j] > CELL_MATES) | salted[j]
+        take = np.where(sure, lag == 1, True)
+        sure |= at[j] == CELL_MATES
+        n, m = rows["n"][i], rows["n"][j]
+        take &= sure | (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m))
+        out.append((i[take], j[take], sure[take]))
+    return out
+
+
+def candidate_edges(cells: DataFrame) -> DataFrame:
+    """Rows (a, b, bound, least, shingle) from cells, each read as a sorted stream: candidates a and b, which need an
+    intersection of ``least`` and have at most ``bound`` common shingles beside the cells they share (both null: to be kept
+    whatever they share).  For each part of a salted cell, also its first class as (a, null, null, null, shingle)."""
+    names = ("shingle", "salt", "cls", "n", "after")
 
-    return docs.mapInArrow(run, "shingle long, salt byte, cls long")
-
-
-def star_edges(cells: DataFrame, *key: str) -> DataFrame:
-    """Rows (a, b, shingle) from cells (shingle, salt, cls): for each cell its first class a and each other class b;
-    for each salted cell also (a, null, shingle).  Cells are read as a sorted stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None
-        pivot = before = 0
+        held = {k: np.zeros(0, np.int64) for k in names}  # the rows before, as far as pairs may reach
+        held_at = np.zeros(0, np.int64)
         for batch in batches:
-            if not batch.num_rows:
+            rows = {k: np.r_[held[k], batch.column(k).to_numpy().astype(np.int64)] for k in names}
+            same = np.r_[False, (rows["shingle"][1:] == rows["shingle"][:-1]) & (rows["salt"][1:] == rows["salt"][:-1])]
+            fresh = np.arange(len(same)) >= len(held_at)
+            keep = ~(fresh & same & np.r_[False, rows["cls"][1:] == rows["cls"][:-1]])
+            rows, same, fresh = {k: v[keep] for k, v in rows.items()}, same[keep], fresh[keep]
+            if not fresh.any():
                 continue
-            s, t, c = (batch.column(k).to_numpy() for k in ("shingle", "salt", "cls"))
-            new = np.r_[(s[0], t[0]) != last, (s[1:] != s[:-1]) | (t[1:] != t[:-1])]
-            firsts = np.flatnonzero(new)
-            which = np.cumsum(new) - 1
-            pivots = np.where(which >= 0, c[firsts][which] if len(firsts) else pivot, pivot)
-            repeated = ~new & (c == np.r_[before, c[:-1]])
-            keep = ~new & ~repeated & (c != pivots)
-            salted = new & (t >= 0)
-            a = np.r_[pivots[keep], c[salted]]
-            b = pa.array(np.r_[c[keep], np.zeros(salted.sum(), np.int64)], mask=np.r_[np.zeros(keep.sum(), bool), np.ones(salted.sum(), bool)])
-            yield pa.record_batch([pa.array(a), b, pa.array(np.r_[s[keep], s[salted]])], names=["a", "b", "shingle"])
-            last, pivot, before = (s[-1], t[-1]), pivots[-1], c[-1]
-
-    return cells.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "cls").mapInArrow(run, "a long, b long, shingle long")
+            # places in the cell: from its first row here, or on from the rows held
+            start = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+            at = np.arange(len(same)) - start
+            if len(held_at):
+                at += np.where(start == 0, held_at[0], 0)
+            firsts = np.flatnonzero(fresh & (at == 0) & (rows["salt"] >= 0))
+            pairs = _cell_pairs(rows, at, fresh)
+            i, j = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, np.int64)]).astype(np.int64) for k in (0, 1))
+            sure = np.concatenate([p[2] for p in pairs] or [np.zeros(0, bool)]).astype(bool)
+            n_all = rows["n"][i] + rows["n"][j]
+            no_b = np.r_[np.zeros(len(i), bool), np.ones(len(firsts), bool)]
+            no_n = np.r_[sure, np.ones(len(firsts), bool)]
+            fill = np.zeros(len(firsts), np.int64)
+            yield pa.record_batch([
+                pa.array(np.r_[rows["cls"][i], rows["cls"][firsts]]), pa.array(np.r_[rows["cls"][j], fill], mask=no_b),
+                pa.array(np.r_[np.maximum(rows["after"][i], rows["after"][j]), fill], mask=no_n),
+                pa.array(np.r_[-(-NUM * n_all // (NUM + DEN)), fill], mask=no_n),
+                pa.array(np.r_[rows["shingle"][i], rows["shingle"][firsts]], mask=~no_b)], names=["a", "b", "bound", "least", "shingle"])
+            held, held_at = {k: v[-CELL_MATES:] for k, v in rows.items()}, at[-CELL_MATES:]
+
+    sorted_cells = cells.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "cls")
+    return sorted_cells.mapInArrow(run, "a long, b long, bound long, least long, shingle long")
 
 
 def regions(cells: DataFrame) -> DataFrame:
-    """(cls, region) of the classes that share a cell with another one, staged; a region is named by its smallest class."""
-    stars = staged(star_edges(cells).groupBy("a", "b").agg(F.collect_set(F.when(F.col("b").isNull(), F.col("shingle"))).alias("shingles")), "stars")
-    edges = stars.where("b is not null").select("a", "b")
-    # the pivots of the salted parts of a cell meet in a cell of their own
-    parts = stars.where("b is null").select(F.explode("shingles").alias("shingle"), F.lit(-1).cast("byte").alias("salt"), F.col("a").alias("cls"))
-    edges = edges.unionByName(star_edges(parts).select("a", "b"))
+    """(cls, region) of the classes that may link to another one, staged; a region is named by its smallest class."""
+    counted = candidate_edges(cells).groupBy("a", "b", "bound", "least", "shingle").agg(F.count(F.lit(1)).alias("shared"))
+    counted = staged(counted.where("b is null or bound is null or shared + bound >= least"), "candidates")
+    edges = counted.where("b is not null").select("a", "b")
+    # the first classes of the salted parts of a cell meet in a cell of their own, all to be kept
+    nothing = F.lit(0)
+    parts = counted.where("b is null").select("shingle", F.lit(0).cast("byte").alias("salt"), F.col("a").alias("cls"), nothing.alias("n"), nothing.alias("after"))
+    edges = edges.unionByName(candidate_edges(parts).where("b is not null").select("a", "b"))
     return staged(components(edges).select(F.col("node").alias("cls"), F.col("root").alias("region")), "regions")
 
 
