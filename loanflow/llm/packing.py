@@ -62,8 +62,15 @@ def byte_bpe(ranks_path: str, special: dict[str, int]):
 ITEM_SCHEMA = "doc_id long, source string, part int, before long, start long, doc_tokens long, n int, ids binary"
 
 
-def tokenize(docs: DataFrame, ranks_path: str, special: dict[str, int], source_col: str) -> DataFrame:
-    """Queue items, staged.  ``part`` and ``before``: the task, and the ids of the source before the item in that task."""
+def id_type(ranks_path: str, special: dict[str, int]) -> str:
+    """The narrowest little-endian unsigned type that holds every id of a vocabulary."""
+    with open(ranks_path, "rb") as f:
+        most = max([int(line.split()[1]) for line in f] + [*special.values()])
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, ranks_path: str, special: dict[str, int], source_col: str, dtype: str) -> DataFrame:
+    """Queue items, staged; ids in 16 bits each where the vocabulary allows.  ``part`` and ``before``: the task, and the ids of the source before the item in that task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -75,7 +82,7 @@ def tokenize(docs: DataFrame, ranks_path: str, special: dict[str, int], source_c
             size = 0
             for doc_id, text, source in zip(*(batch.column(c) for c in ("doc_id", "text", "source")), strict=True):
                 source = source.as_py()
-                ids = np.asarray([*encode(text.as_py()), END_ID], "<u4")
+                ids = np.asarray([*encode(text.as_py()), END_ID], dtype)
                 for start in range(0, len(ids), ITEM_TOKENS):
                     item = ids[start:start + ITEM_TOKENS]
                     at = before.get(source, 0)
@@ -161,7 +168,8 @@ def pack_group(group: int, n_groups: int, items: list[tuple]) -> list[tuple]:
 def pack(docs: DataFrame, ranks_path: str, special: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit), source."""
     docs = id_and_text(docs.withColumn("_source", F.col(source_col)), id_col, text_col, "_source")
-    items = tokenize(docs, ranks_path, special or {}, "_source")
+    special, dtype = special or {}, id_type(ranks_path, special or {})
+    items = tokenize(docs, ranks_path, special, "_source", dtype)
     total = items.agg(F.sum("n")).first()[0] or 0
     n_groups = max(1, -(-total // GROUP_TOKENS))
     placed = queue_places(items).withColumn("group", F.floor(F.col("place") * F.lit(n_groups).cast("decimal(20,0)") / F.col("total")).cast("long"))
@@ -169,7 +177,7 @@ def pack(docs: DataFrame, ranks_path: str, special: dict[str, int] | None = None
     names, types = zip(*[(f.name, f.type) for f in PIECES], strict=True)
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        items = [(*r[:7], np.frombuffer(r[7], "<u4")) for r in zip(*(rows.column(c).to_pylist() for c in (
+        items = [(*r[:7], np.frombuffer(r[7], dtype).astype("<u4")) for r in zip(*(rows.column(c).to_pylist() for c in (
             "doc_id", "queue", "source", "start", "doc_tokens", "place", "total", "ids")), strict=True)]
         pieces = pack_group(key[0].as_py(), n_groups, items)
         return pa.table([pa.array(c, t) for c, t in zip(zip(*pieces, strict=True), types, strict=True)], names=list(names))
