@@ -99,10 +99,11 @@ def scan_licenses(docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text
     tpl = templates(docs.sparkSession, notices)
     known = sorted({h for r in tpl.select("hashes").collect() for h in r["hashes"]})
     in_template = lambda x: x.isin(known)
-    docs = id_and_text(docs, id_col, text_col).withColumn("row_key", F.monotonically_increasing_id())
-    docs = docs.select("doc_id", "row_key", words(F.col("text")).alias("words"))
+    docs = id_and_text(docs, id_col, text_col).select("doc_id", words(F.col("text")).alias("words"))
     docs = docs.withColumn("word_hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    docs = docs.withColumn("hashes", shingle_hashes(F.col("word_hashes"))).drop("word_hashes")
+    # the row key is made beside the hashes, so that the filter below reads the finished hashes instead of being moved
+    # under them, where it would compute them once for each mention
+    docs = docs.select("doc_id", F.monotonically_increasing_id().alias("row_key"), "words", shingle_hashes(F.col("word_hashes")).alias("hashes"))
     docs = docs.where(F.exists("hashes", in_template))
     step = WINDOW // 2
     at = F.explode(F.sequence(F.lit(0), F.floor((F.size("hashes") - 1) / step).cast("int")))
