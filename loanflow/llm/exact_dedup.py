@@ -58,8 +58,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = id_and_text(docs, id_col, text_col)
     verify_store(chunk_store(docs))
     rows = recipes(docs)
-    groups = rows.groupBy("recipe").agg(
-        F.max(F.struct("doc_id", "row_key")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    # combined map-side, and written, so that the join below splits the rows of a large group over tasks
+    groups = staged(rows.groupBy("recipe").agg(
+        F.max(F.struct("doc_id", "row_key")).alias("keep"), F.count(F.lit(1)).alias("group_size")), "recipe-groups")
     return rows.join(groups, "recipe").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("keep.row_key") == F.col("row_key")).alias("kept"), "text_sha256")
