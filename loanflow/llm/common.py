@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanflow.session import scratch_path
@@ -30,13 +31,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def concat_all(parts: Column) -> Column:
-    """The strings of an array column, joined with nothing between."""
-    return F.array_join(parts, "")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Record batches of few rows, so that a task holds few texts as Python strings at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanflow.llm.common import components, id_and_text, staged
+from loanflow.llm.common import components, id_and_text, sliced, staged
 
 SHINGLE = 5
 NUM, DEN = 75, 100
@@ -52,7 +52,7 @@ CELL_MATES = 32
 SALTS = 16
 MEET = "array<struct<i:int,both:boolean,j:int>>"
 #: Bytes of text hashed at a time.
-CHUNK = 1 << 22
+CHUNK = 1 << 19
 
 _U = np.uint64
 _BASE, _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0xD6E8FEB86659FD93)
@@ -157,12 +157,6 @@ def similar(common: int, n: int, m: int) -> bool:
     return DEN * common >= NUM * (n + m - common)
 
 
-def _batched(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-
-
 def first_pass(docs: DataFrame, bits: int) -> DataFrame:
     """Staged rows of two kinds: a document's (doc_id, n, cls), and a task's (bucket, low): the cells of its shingles, 2^16 to a bucket, low 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,14 +173,14 @@ def first_pass(docs: DataFrame, bits: int) -> DataFrame:
             return pa.record_batch([pa.array(none, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.int64()), pa.array(names), pa.array(lists, pa.binary())], names=fields)
 
         fields = ["doc_id", "n", "cls", "bucket", "low"]
-        for b in _batched(batches):
+        for b in sliced(batches):
             sets = shingle_sets(b.column("text").to_pylist())
             none = [None] * len(sets)
             yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_name(s) if len(s) else None for s in sets], pa.int64()),
                                    pa.array(none, pa.int32()), pa.array(none, pa.binary())], names=fields)
             held += [s for s in sets if len(s)]
             size += sum(map(len, sets))
-            if size >= 1 << 22:
+            if size >= 1 << 20:
                 yield cells()
                 held, size = [], 0
         if held:
@@ -225,7 +219,7 @@ def cells_of(docs: DataFrame, bits: int, hot) -> DataFrame:
     shingles (-1: not one); ``after``: how many shingles of the class come after those of its infrequent cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(hot.value, np.uint8), set()
-        for b in _batched(batches):
+        for b in sliced(batches):
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
             for s in shingle_sets(b.column("text").to_pylist()):
                 if not len(s) or (name := class_name(s)) in seen:
@@ -316,7 +310,7 @@ def regions(cells: DataFrame) -> DataFrame:
 
 
 def region_sets(docs: DataFrame, region: DataFrame, n_classes: int) -> DataFrame:
-    """(region, cls, n, shingles) of each class of a region once, staged.  A bit table of the classes keeps other documents from the shuffle."""
+    """(region, size, cls, n, shingles) of each class of a region once, staged.  A bit table of the classes keeps other documents from the shuffle."""
     bits = min(max(16, (8 * n_classes).bit_length()), CELL_BITS[1])
     cell = F.shiftrightunsigned("cls", 64 - bits)
 
@@ -330,7 +324,7 @@ def region_sets(docs: DataFrame, region: DataFrame, n_classes: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(wanted.value, np.uint8), set()
-        for b in _batched(batches):
+        for b in sliced(batches):
             names, sets = [], []
             for s in shingle_sets(b.column("text").to_pylist()):
                 if len(s):
@@ -343,7 +337,7 @@ def region_sets(docs: DataFrame, region: DataFrame, n_classes: int) -> DataFrame
             yield pa.record_batch([pa.array(names, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "n", "shingles"])
 
     rows = docs.mapInArrow(run, "cls long, n int, shingles binary")
-    return staged(rows.join(region, "cls").dropDuplicates(["cls"]).select("region", "cls", "n", "shingles"), "region-sets")
+    return staged(rows.join(region, "cls").dropDuplicates(["cls"]).select("region", "size", "cls", "n", "shingles"), "region-sets")
 
 
 class _Forest:
@@ -361,38 +355,40 @@ class _Forest:
         return i != j
 
 
-def _common(pivot: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of a sorted set with sets that lie one after another in ``flat``."""
-    at = np.minimum(np.searchsorted(pivot, flat), len(pivot) - 1)
-    return np.add.reduceat((pivot[at] == flat).astype(np.int64), starts)
+def _overlaps(sets: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """Sizes of all intersections of a block of sets: products of the table (set, shingle), ``columns`` shingles at a time.  Shingles of one set only are left out."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, shingle, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shingle = owner[count[shingle] > 1], shingle[count[shingle] > 1]
+    order = np.argsort(shingle, kind="stable")
+    owner, shingle = owner[order], shingle[order]
+    column = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]])
+    out = np.zeros((n, n), np.float64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, (at, at + columns))
+        part = np.zeros((n, min(columns, int(column[-1]) + 1 - at)), np.float32)
+        part[owner[a:b], column[a:b] - at] = 1
+        out += part @ part.T
+    return np.rint(out).astype(np.int64)
 
 
 class _Joiner:
-    """Links among sets that lie in memory, as a spanning forest."""
+    """Links among a block of sets in memory, as a spanning forest."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sets, self.sizes = sets, np.array([len(s) for s in sets])
+        self.sizes, self.common = np.array([len(s) for s in sets]), _overlaps(sets)
         self.forest, self.links = _Forest(len(sets)), []
 
     def check(self, i: int, js: np.ndarray) -> np.ndarray:
         """Distances of i to js; links what is near."""
-        parts = [self.sets[j] for j in js]
-        c = _common(self.sets[i], np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])]))
+        c = self.common[i, js]
         both = self.sizes[i] + self.sizes[js] - c
         for j in js[DEN * c >= NUM * both]:
             if self.forest.link(i, int(j)):
                 self.links.append((i, int(j)))
         return 1 - c / both
 
-    def check_open(self, i: int, js: np.ndarray) -> None:
-        """The same for those of js whose sizes allow a link to i and that are not connected with it yet."""
-        n, m = self.sizes[i], self.sizes[js]
-        js = js[DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)]
-        root = self.forest.root(i)
-        js = js[np.array([self.forest.root(int(j)) != root for j in js], bool)]
-        if len(js):
-            self.check(i, js)
-
 
 def join_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """A spanning forest of the links between non-empty sets, by recursion around pivots."""
@@ -405,7 +401,7 @@ def join_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         # links between what is outside and what is inside: d <= 2r, and distances to the pivot that differ by r at most
         for x, dx in zip(others[~inside], d[~inside], strict=True):
             if dx <= 2 * r + eps:
-                joiner.check_open(int(x), others[inside & (np.abs(d - dx) <= r + eps)])
+                joiner.check(int(x), others[inside & (np.abs(d - dx) <= r + eps)])
         rest = others[~inside]
     return joiner.links
 
@@ -414,7 +410,7 @@ def cross_join_blocks(sets: list[np.ndarray], out: np.ndarray) -> list[tuple[int
     """A spanning forest of the links between a block outside a pivot's radius and a block inside it."""
     joiner, inside = _Joiner(sets), np.flatnonzero(~out)
     for i in np.flatnonzero(out):
-        joiner.check_open(int(i), inside)
+        joiner.check(int(i), inside)
     return joiner.links
 
 
@@ -440,11 +436,11 @@ def pivot_distances(sets: DataFrame) -> DataFrame:
     pivots = sets.where("cls = region").select("region", F.col("shingles").alias("pivot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _batched(batches):
+        for b in sliced(batches):
             d = []
             for p, s in zip(b.column("pivot").to_pylist(), b.column("shingles").to_pylist(), strict=True):
                 x, y = np.frombuffer(p, _U), np.frombuffer(s, _U)
-                c = int(_common(x, y, np.zeros(1, np.int64))[0])
+                c = len(np.intersect1d(x, y, assume_unique=True))
                 d.append(1 - c / (len(x) + len(y) - c))
             yield pa.record_batch([*(b.column(k) for k in ("region", "cls", "n", "shingles")), pa.array(d, pa.float64())], names=["region", "cls", "n", "shingles", "d"])
 
@@ -491,10 +487,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = spark.sparkContext.broadcast(frequent_cells(first.where("bucket is not null").select("bucket", "low"), bits, total))
     region = regions(cells_of(docs, bits, hot))
     sizes = region.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+    region = staged(region.join(sizes, "region"), "sized-regions")
     n_classes = region.count()
     links = None
     if n_classes:
-        sets = region_sets(docs, region, n_classes).join(staged(sizes, "region-sizes"), "region")
+        sets = region_sets(docs, region, n_classes)
         small = small_links(sets.where(F.col("size") <= BLOCK).drop("size"))
         large = large_links(sets.where(F.col("size") > BLOCK).drop("size"))
         links = components(small.unionByName(large))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loanflow.llm.common import id_and_text, staged
+from loanflow.llm.common import id_and_text, sliced, staged
 
 SEQUENCE = 1024
 END_ID = 0
@@ -77,7 +77,7 @@ def tokenize(docs: DataFrame, ranks_path: str, special: dict[str, int], source_c
         part, before, encode = TaskContext.get().partitionId(), {}, byte_bpe(ranks_path, special)
         schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("part", pa.int32()), ("before", pa.int64()), ("start", pa.int64()),
                             ("doc_tokens", pa.int64()), ("n", pa.int32()), ("ids", pa.binary())])
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[list] = [[] for _ in schema]
             size = 0
             for doc_id, text, source in zip(*(batch.column(c) for c in ("doc_id", "text", "source")), strict=True):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanflow.llm.common import id_and_text
+from loanflow.llm.common import id_and_text, sliced
 
 #: The kinds in the order of the digest, and what their patterns are made of.
 KINDS = ("email", "ip", "card", "phone")
@@ -186,7 +186,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *m
     docs = id_and_text(docs, id_col, text_col, *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             spans = []
             for text in batch.column("text").to_pylist():
                 base, full = all_spans(text)
@@ -213,7 +213,7 @@ def mask(text: str, spans: list[dict]) -> str:
 def mask_documents(docs: DataFrame, text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """The same rows and columns with personal data masked in ``text_col``; ``chars_col``, if named, gets the new length.  Null text stays null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             at = b.schema.get_field_index(text_col)
             texts = []
             for text in b.column(at).to_pylist():

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanflow.llm.common import id_and_text, staged
+from loanflow.llm.common import id_and_text, sliced, staged
 
 LABELLED_ROWS = 20_000
 LEXICON_TERMS = 2_000
@@ -34,7 +34,7 @@ LEAST_SHARE = 0.005
 LIFT = 25.0
 ONE_EDIT = {"word": 5, "stem": 7}
 CONTEXT = 40
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 16
 #: Marks that open or close a quotation, and words that report one.
 QUOTES = "\"“”„«»‹›「」"
 REPORTING = ("said", "says", "called", "wrote", "quoted", "quote", "sagte", "nannte", "zitat", "dit", "appelé", "citation", "dijo", "llamó", "cita")
@@ -247,7 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             hits = [model.hits(t) for t in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("toxic"), *(pa.array([h[k] for h in hits], pa.int64()) for k in range(3))], names=["toxic", "a", "b", "c"])
 
@@ -261,7 +261,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     docs = id_and_text(docs, id_col, text_col, *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             score = pa.array([model.score(t) for t in b.column("text").to_pylist()], pa.float64())
             yield pa.record_batch([*b.columns, score], names=[*b.schema.names, "score"])
 
@@ -272,7 +272,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows whose text is not predicted toxic, with all their columns as they were."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             yield b.filter(pa.array([model.score(t or "") < 0.5 for t in b.column(text_col).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
