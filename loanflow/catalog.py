@@ -99,7 +99,7 @@ def weighted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_scan")
 def q_csv_scan(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    files.write_loans_csv(fx.loan_bronze(spark, sf_dir).repartition(4), path)
+    files.write_loans_csv(fx.loan_bronze(spark, sf_dir), path)
     return files.read_loans_csv(spark, path)
 
 
@@ -157,9 +157,10 @@ def q_backfill_metadata(spark, sf_dir):
 def q_count_reconcile(spark, sf_dir):
     from loanflow.sources.reconcile import reconcile_counts
 
-    raw = fx.loan_bronze(spark, sf_dir)
-    b = with_backfill_metadata(raw)
-    return reconcile_counts(raw, b, bronze_to_silver(b))
+    # three written tables, as a backfill leaves them: each is counted by itself
+    raw = files.stage_table(fx.loan_bronze(spark, sf_dir), "raw")
+    b = files.stage_table(with_backfill_metadata(raw), "bronze")
+    return reconcile_counts(raw, b, files.stage_table(bronze_to_silver(b), "silver"))
 
 
 @query("model_save_load")
@@ -539,7 +540,7 @@ def q_probability_score(spark, sf_dir):
     train, test, _ = _train_test(spark, sf_dir)
     model = make_classifier("LogisticRegression").fit(train)
     pred = model.transform(test)
-    return pred.select(LABEL, evaluate.positive_score(pred).alias("score"), "prediction")
+    return pred.select(LABEL, evaluate.positive_score(pred, "probability").alias("score"), "prediction")
 
 
 @query("feature_importance_topk")
@@ -573,29 +574,19 @@ def q_roc_curve(spark, sf_dir):
 # K: streaming (availableNow runs into fresh folders, then a batch read of the sink)
 # ======================================================================================
 
-def _land_messages(spark, sf_dir, n_files: int = 6, where=None) -> str:
+#: Messages per landed file: the number of files, and with it of decode tasks, follows the data.
+LANDED_MESSAGES = 5_000
+
+
+def _land_messages(spark, sf_dir, where=None) -> str:
     path = scratch_path(spark, "messages")
     msgs = fx.messages(spark, sf_dir)
     if where is not None:
         msgs = msgs.where(where)
-    msgs.repartition(n_files).write.mode("overwrite").parquet(path)
+    msgs.write.mode("overwrite").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(path)
     return path
 
 
-DECODE_TASKS_PER_FILE = 4
-
-
-def _decode_tasks(spark, files_per_trigger: int) -> int:
-    """Tasks that decode one micro-batch: a few per input file of the trigger, at most the cluster's slots.
-
-    Proportional to what one trigger reads, so a large cluster does not split a
-    small capped batch into thousands of near-empty tasks.  A Bronze batch lands
-    one file per decoding task, so this is also how many Bronze files one Silver
-    trigger takes to see about one Bronze batch.
-    """
-    return max(1, min(spark.sparkContext.defaultParallelism, DECODE_TASKS_PER_FILE * files_per_trigger))
-
-
 def _await(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
@@ -607,8 +598,7 @@ def _stream_bronze_table(spark, sf_dir, per_trigger: int = 2) -> str:
 
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger,
-                       min_partitions=_decode_tasks(spark, per_trigger))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger)
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     return out
 
@@ -646,7 +636,7 @@ def q_rate_limit(spark, sf_dir):
 @query("table_stream_scan")
 def q_table_stream_scan(spark, sf_dir):
     path = scratch_path(spark, "bronze_batch")
-    files.write_table(bronze(spark, sf_dir).repartition(4), path)
+    files.write_table(bronze(spark, sf_dir), path)
     schema = files.read_table(spark, path).schema
     out, ck = scratch_path(spark, "copy_stream"), scratch_path(spark, "copy_ckpt")
     src = files.stream_table(spark, path, schema, max_files_per_trigger=1)
@@ -660,9 +650,8 @@ def q_stream_silver(spark, sf_dir):
 
     bronze_path = _stream_bronze_table(spark, sf_dir)
     out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    # a Bronze micro-batch lands one file per decoding task: one Silver trigger takes about one Bronze batch
     _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True},
-                         max_files_per_trigger=_decode_tasks(spark, 2)))
+                         max_files_per_trigger=2))
     return no_audit(files.read_table(spark, out))
 
 
@@ -674,14 +663,14 @@ def q_chained_streams(spark, sf_dir):
     src = _land_messages(spark, sf_dir)
     b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_decode_tasks(spark, 2))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
     once = {"availableNow": True}
     qb = stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
-    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_decode_tasks(spark, 2))
+    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2)
     _await(qb)
     _await(qs)
     # Silver saw what Bronze had landed when it started; a restart on its checkpoint takes the rest.
-    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=_decode_tasks(spark, 2)))
+    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2))
     return no_audit(files.read_table(spark, s_out))
 
 
@@ -692,11 +681,11 @@ def q_restart_from_checkpoint(spark, sf_dir):
     src = scratch_path(spark, "messages")
     msgs = fx.messages(spark, sf_dir)
     even = F.col("offset") % 2 == 0
-    msgs.where(even).repartition(3).write.mode("append").parquet(src)
+    msgs.where(even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=_decode_tasks(spark, 2))
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
-    msgs.where(~even).repartition(3).write.mode("append").parquet(src)  # new files arrive
+    msgs.where(~even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)  # new files arrive
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # nothing new
     return files.read_table(spark, out).drop(INGESTION_TS)
@@ -728,7 +717,7 @@ def q_backfill(spark, sf_dir):
     from loanflow.plans.backfill import backfill
 
     csv = scratch_path(spark, "csv")
-    files.write_loans_csv(fx.loan_bronze(spark, sf_dir).repartition(4), csv)
+    files.write_loans_csv(fx.loan_bronze(spark, sf_dir), csv)
     return backfill(spark, csv, scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
 
 

@@ -55,7 +55,7 @@ def r6(x: str) -> str:
 N_GOLD = "(SELECT COUNT(*) FROM gd)"
 BACKFILL_META = ("'backfill_csv' AS kafka_topic, CAST(NULL AS INTEGER) AS kafka_partition, "
                  "CAST(NULL AS BIGINT) AS kafka_offset, CAST(NULL AS TIMESTAMP) AS kafka_timestamp")
-HASH_SPLIT = ("CASE WHEN CAST(('0x' || substr(md5('42:' || id), 1, 8)) AS BIGINT) % 100 < 80 "
+HASH_SPLIT = ("CASE WHEN CAST(('0x' || substr(md5('42:' || id), 1, 8)) AS BIGINT) < round(0.8 * 4294967296) "
               "THEN 'train' ELSE 'test' END")
 SILVER_NO_DROP = [c for c in SILVER_ORDER if c not in set(GOLD_DROP_COLUMNS)]
 

@@ -27,12 +27,11 @@ def _count(cond: Column | None = None, weight: str | None = None) -> Column:
     return F.sum(w) if cond is None else F.coalesce(F.sum(F.when(cond, w)), F.lit(0).cast("long"))
 
 
-def positive_score(pred: DataFrame, col: str = "probability", fallback: str = "rawPrediction") -> Column:
-    """Score of the positive class: element 1 of ``probability`` (or of ``rawPrediction`` if there is none)."""
+def positive_score(pred: DataFrame, col: str = "rawPrediction") -> Column:
+    """Element 1 of a prediction vector: the raw score that ranks rows for the AUC, or the ``probability``; NULL if the model has no such column."""
     from pyspark.ml.functions import vector_to_array
 
-    use = col if col in pred.columns else fallback
-    return vector_to_array(F.col(use)).getItem(1)
+    return vector_to_array(F.col(col)).getItem(1) if col in pred.columns else F.lit(None).cast("double")
 
 
 def _by(by) -> list[str]:
@@ -102,10 +101,11 @@ def auc_roc(scored: DataFrame, by="model", label: str = "label", score: str = "s
     counts = _score_counts(scored, by, label, score, weight)
     cum = running_totals(counts, "score", ["neg"], by=by, n_buckets=n_buckets)
     below = F.col("cum_neg") - F.col("neg")
-    agg = cum.groupBy(*by).agg(
-        F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("_u"),
-        F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    auc = F.try_divide(F.col("_u"), (F.col("_p") * F.col("_n")).cast("double"))
+    # counts of pairs pass 2^63 on large data: exact as decimals, the last product as doubles
+    wide = lambda c: c.cast("decimal(19,0)")
+    twice = wide(F.col("pos")) * wide(2 * below + F.col("neg"))
+    agg = cum.groupBy(*by).agg(F.sum(twice.cast("decimal(38,0)")).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    auc = F.try_divide(F.col("_u").cast("double") / 2, F.col("_p").cast("double") * F.col("_n").cast("double"))
     return agg.select(*by, F.round(auc, DIGITS).alias("auc"))
 
 

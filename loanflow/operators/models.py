@@ -37,9 +37,13 @@ def make_classifier(name: str, features: str = "features", label: str = LABEL, w
 
 
 def scored_frame(predictions: DataFrame, name: str, label: str = LABEL) -> DataFrame:
-    """Predictions -> long evaluation rows (model, label, score, prediction)."""
-    return predictions.select(F.lit(name).alias("model"), F.col(label).alias("label"),
-                              positive_score(predictions).alias("score"), F.col("prediction"))
+    """Predictions -> long evaluation rows (model, label, score, prediction, probability).
+
+    ``score`` is the raw one, for the AUC; ``probability`` is for the ROC curve and NULL for a model without one,
+    which a curve over it then skips.
+    """
+    return predictions.select(F.lit(name).alias("model"), F.col(label).alias("label"), positive_score(predictions).alias("score"),
+                              F.col("prediction"), positive_score(predictions, "probability").alias("probability"))
 
 
 def train_and_evaluate(estimator, name: str, train: DataFrame, test: DataFrame):

@@ -17,16 +17,15 @@ from loanflow.schema import LABEL
 SPLIT = "split"
 
 
-def hash_bucket(key: Column, seed: int = 42, modulus: int = 100) -> Column:
-    """0..modulus-1 from the first 32 bits of md5('<seed>:<key>')."""
+def hash_share(key: Column, seed: int = 42) -> Column:
+    """The first 32 bits of md5('<seed>:<key>'), as a long from 0 to 2^32 - 1."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(modulus)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def hash_split(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42, out: str = SPLIT) -> DataFrame:
-    """Add ``out`` = 'train' for about ``frac`` of the keys, else 'test'."""
-    cut = int(round(frac * 100))
-    return df.withColumn(out, F.when(hash_bucket(F.col(key), seed) < cut, "train").otherwise("test"))
+    """Add ``out`` = 'train' for about ``frac`` of the keys, else 'test'.  ``frac`` counts in steps of 2^-32; a NULL key has no hash and goes to 'test'."""
+    return df.withColumn(out, F.when(hash_share(F.col(key), seed) < F.lit(int(round(frac * 2**32))), "train").otherwise("test"))
 
 
 def split_report(df: DataFrame, split: str = SPLIT, label: str = LABEL) -> DataFrame:

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from loanflow.schema import LABEL, WEIGHT
 from loanflow.session import materialize
-
-MAX_CLASSES = 10_000
-
+from loanflow.sources.files import stage_table
 
 def class_weights(df: DataFrame, label: str = LABEL, counts: DataFrame | None = None) -> DataFrame:
     """(label, count, weight) per class.
@@ -25,28 +23,16 @@ def class_weights(df: DataFrame, label: str = LABEL, counts: DataFrame | None =
     return counts.withColumn("weight", total.cast("double") / (n_classes * F.col("count")).cast("double"))
 
 
-def with_class_weight(df: DataFrame, label: str = LABEL, out: str = WEIGHT,
-                      max_classes: int = MAX_CLASSES) -> DataFrame:
-    """Attach the class weight to every row.
+def with_class_weight(df: DataFrame, label: str = LABEL, out: str = WEIGHT) -> DataFrame:
+    """Attach the class weight to every row, for any number of classes.
 
-    The class table is bounded by the number of classes (checked against
-    ``max_classes``): one grouped count (map-side combined) returns at most
-    ``max_classes + 1`` rows, the weights follow from those counts, and they
-    are applied as a literal map - a row-local lookup, no join and no shuffle
-    of the large side.  Works for any number of classes, not just 0/1.
+    The class table is written first, so Spark knows its size: it broadcasts a small one, and
+    for a large one the join's hot labels are split by adaptive execution.
     Rows whose label is NULL get a NULL weight.
     """
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("count")).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label!r}")
-    total, n_classes = sum(r["count"] for r in rows), len(rows)
-    pairs = []
-    for r in rows:
-        if r[label] is not None:
-            pairs += [F.lit(r[label]), F.lit(float(total) / float(n_classes * r["count"]))]
-    if not pairs:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    return df.withColumn(out, F.element_at(F.create_map(*pairs), F.col(label)))
+    table = stage_table(class_weights(df, label).select(F.col(label).alias("_class"), F.col("weight").alias(out)), "class-weights")
+    joined = df.drop(out).join(table, F.col(label) == F.col("_class"), "left")
+    return joined.select(*[c for c in df.columns if c != out], out)
 
 
 def distinct_pairs(df: DataFrame, cols) -> DataFrame:

@@ -1,24 +1,17 @@
 """Bronze -> Silver: one DataFrame function for batch and Structured Streaming.
 
-Order matters and is fixed: blanks become NULL before any parse, so a blank
-never reaches a cast.  All steps are row-local projections (no shuffle), so a
-streaming micro-batch and a batch backfill plan the same narrow stage.
+Row-local projections only (no shuffle), so a streaming micro-batch and a batch
+backfill plan the same narrow stage: each column's type from its kind, then the
+columns derived from typed ones and the audit stamp.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from loanflow.functions.cleaning import blank_to_null, cast_numeric, parse_month_date, parse_percent
+from loanflow.functions.cleaning import typed_columns
 from loanflow.functions.derived import with_derived, with_processing_time
 
 
 def bronze_to_silver(df: DataFrame) -> DataFrame:
-    return (
-        df.transform(blank_to_null)
-        .transform(parse_percent)
-        .transform(cast_numeric)
-        .transform(parse_month_date)
-        .transform(with_derived)
-        .transform(with_processing_time)
-    )
+    return with_processing_time(with_derived(typed_columns(df)))

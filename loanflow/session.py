@@ -34,13 +34,15 @@ def local_session(cores: int | str = "*", app: str = "loanflow", extra: dict | N
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (a local test run) is a folder of our own
-    created and registered as the checkpoint dir.
+    Where the session names none, a local master gets a folder of our own; on a
+    cluster that is an error, since executors would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="loanflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -6,7 +6,8 @@ installed - the calls are the same.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,25 +32,18 @@ def read_loans_csv(spark: SparkSession, path: str, schema=LOAN_SCHEMA) -> DataFr
     )
 
 
-def write_loans_csv(df: DataFrame, path: str) -> None:
-    """The inverse of ``read_loans_csv`` (header, '"' quote and escape); one file per partition."""
+#: Rows per landed file, so that the number of files follows the data.
+LANDED_ROWS = 20_000
+
+
+def write_loans_csv(df: DataFrame, path: str, rows_per_file: int = LANDED_ROWS) -> None:
+    """The inverse of ``read_loans_csv`` (header, '"' quote and escape); files of ``rows_per_file`` rows at most, one reader task each."""
     (df.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"')
+     .option("maxRecordsPerFile", rows_per_file)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Fan a scan out to the cluster when it yields fewer partitions than there are task slots.
-
-    A large input already has many splits and is returned as it is (no shuffle);
-    a small, single-split input is dealt round-robin so the wide per-row parsing
-    that follows uses every core.  Round-robin after a local sort is
-    deterministic, so retried tasks see the same rows.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def stage_table(df: DataFrame, name: str = "stage", fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read it back.
 
@@ -96,12 +90,15 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = DEFAULT_
 
 
 def read_or_else(spark: SparkSession, path: str, other: DataFrame, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """The table at ``path``, or ``other`` when it cannot be read."""
+    """The table at ``path``, or ``other`` when it cannot be read: missing, of another format, or with a broken first file.
+
+    One row is read to find out; a file that turns out broken later fails the query that reads it.
+    """
     try:
         df = read_table(spark, path, fmt)
-        df.schema  # resolve now so a missing path fails here
+        df.take(1)
         return df
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return other
 
 

@@ -55,19 +55,24 @@ def test_ingest_progress_on_stamped_events(spark, sf_small):
     assert all(r.total_rows == sum(x.batch_rows for x in rows[: i + 1]) for i, r in enumerate(rows))
 
 
-def test_spread_decode_keeps_batches_and_rows(spark, sf_small):
-    """min_partitions spreads each trigger's decode over more tasks; batches and rows are unchanged."""
+def test_minimum_never_lowers_the_decode_tasks(spark, sf_small):
+    """A trigger of 8 files is decoded by 8 tasks though the minimum is 2; batches and rows are unchanged."""
     import os
 
-    src = land(spark, sf_small, n_files=6)
+    src = land(spark, sf_small, n_files=24)
     out, ck = scratch_path(spark, "b"), scratch_path(spark, "bck")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2, min_partitions=3)
-    q = stream_bronze(spark, cfg, out, ck, ONCE)
-    q.awaitTermination()
+    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=8, min_partitions=2)
+    small = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # one split per file
+    try:
+        q = stream_bronze(spark, cfg, out, ck, ONCE)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", small)
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
-    assert len(sizes) == 3 and sum(sizes) == 1500  # 6 files, 2 per trigger, as without spreading
+    assert len(sizes) == 3 and sum(sizes) == 1500
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
-    assert len(parts) == 9  # 3 batches x 3 decoding tasks, one file each
+    assert len(parts) == 24  # 3 batches x 8 files
     table = files.read_table(spark, out)
     assert table.count() == 1500 and table.select("kafka_partition", "kafka_offset").distinct().count() == 1500
     assert len(ingest_progress(table).collect()) == 3
