@@ -138,3 +138,21 @@ def op4(spark, sf_dir):
     from loanflow.llm.jaccard import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op1_chat_formatting"] = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')) AS v(conv_id, turn, role, text)
+), turns AS (
+  SELECT *, lower(role) = 'assistant' AS loss,
+         length('### : </turn>') + 2 + length(role) + length(text) + length(regexp_replace(role || text, '[^\\\\#<:]', '', 'g')) AS chars
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (loss), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (loss), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
