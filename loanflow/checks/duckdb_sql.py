@@ -1,8 +1,9 @@
 """Independent DuckDB texts for the correctness gate.
 
 The oracle parses the loan rows with DuckDB's own functions (TRY_CAST,
-TRY_STRPTIME, ...) rather than calling anything in this package, so a bug in
-the Spark code cannot hide in both sides.  CTE names: ``lb`` raw rows, ``sv``
+TRY_STRPTIME, ...).  It shares with the package the fixture text and the
+column lists of ``loanflow.schema``: a wrong list there would be wrong on both
+sides, a wrong operator would not.  CTE names: ``lb`` raw rows, ``sv``
 Silver (without audit stamps), ``gd`` Gold (without audit stamps).
 """
 
@@ -42,12 +43,7 @@ def in_list(values) -> str:
 def lb_select(extra: str = "") -> str:
     """Raw loan rows; the fixture text with DuckDB's month formatting."""
     month = "strftime(o_orderdate, '%b-%Y')"
-    parts = []
-    for c in LOAN_COLUMNS:
-        if c in fx.LOAN_BRONZE_EXPRS:
-            parts.append(f"{fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', month)} AS {qi(c)}")
-        else:
-            parts.append(f"CAST(NULL AS VARCHAR) AS {qi(c)}")
+    parts = [f"{fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', month)} AS {qi(c)}" for c in LOAN_COLUMNS]
     if extra:
         parts.append(extra)
     return "SELECT " + ",\n  ".join(parts) + "\nFROM orders JOIN customer ON o_custkey = c_custkey"
@@ -57,13 +53,8 @@ def slb_select() -> str:
     """Bronze as decoded from the message fixture: bad or missing payload -> all data NULL; Kafka columns."""
     month = "strftime(o_orderdate, '%b-%Y')"
     bad = f"(o_orderkey % {fx.BAD_JSON_EVERY} = 0 OR o_orderkey % {fx.NULL_JSON_EVERY} = 0)"
-    parts = []
-    for c in LOAN_COLUMNS:
-        if c in fx.LOAN_BRONZE_EXPRS:
-            e = fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', month)
-            parts.append(f"CASE WHEN {bad} THEN NULL ELSE {e} END AS {qi(c)}")
-        else:
-            parts.append(f"CAST(NULL AS VARCHAR) AS {qi(c)}")
+    parts = [f"CASE WHEN {bad} THEN NULL ELSE {fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', month)} END AS {qi(c)}"
+             for c in LOAN_COLUMNS]
     parts += [f"'{fx.MESSAGE_TOPIC}' AS kafka_topic",
               f"CAST(o_orderkey % {fx.MESSAGE_PARTITIONS} AS INTEGER) AS kafka_partition",
               f"CAST(floor(o_orderkey / {fx.MESSAGE_PARTITIONS}) AS BIGINT) AS kafka_offset",

@@ -2,10 +2,11 @@
 
 The reference ships no data, so every query runs on rows derived from
 ``orders`` (+ ``customer``) and ``events``.  All projections are row-local
-except the ``orders``-``customer`` equi-join, which Spark plans by size
-(broadcast of a small customer side, else a shuffle join; AQE re-plans at run
-time).  The expressions are the same text as the DuckDB fixtures, so both
-engines build identical raw rows.
+except the ``orders``-``customer`` equi-join.  ``customer`` grows with
+``orders``, so neither side has a size bound and the join is a shuffle join
+(adaptive execution splits a hot customer); only the seven joined columns move,
+and the wide rows are built after it.  The expressions are the same text as
+the DuckDB fixtures, so both engines build identical raw rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanflow.schema import LOAN_COLUMNS
+from loanflow.schema import DATE_COLUMNS, LOAN_COLUMNS, NUMERIC_COLUMNS, PERCENT_COLUMNS
 from loanflow.sources.messages import to_messages
 
 # FIXED VALUES: the fixture text (loan-shaped rows from orders + customer).
@@ -34,11 +35,13 @@ LOAN_BRONZE_EXPRS = {
     "verification_status": "CASE o_orderstatus WHEN 'F' THEN 'Verified' WHEN 'P' THEN 'Source Verified' "
                            "ELSE 'Not Verified' END",
     "issue_d": "{MMM}",
-    "loan_status": "CASE o_orderkey % 20 WHEN 0 THEN 'Charged Off' WHEN 1 THEN 'Default' "
+    # the label follows the interest rate (o_orderkey % 25) only in part, the rest is a scrambled key: no model separates it
+    "loan_status": "CASE WHEN o_orderkey % 25 > 16 AND o_orderkey * 104729 % 10009 % 3 = 0 THEN 'Charged Off' "
+                   "ELSE CASE o_orderkey * 7919 % 10007 % 20 WHEN 0 THEN 'Charged Off' WHEN 1 THEN 'Default' "
                    "WHEN 2 THEN 'Does not meet the credit policy. Status:Charged Off' "
                    "WHEN 3 THEN 'Does not meet the credit policy. Status:Fully Paid' "
                    "WHEN 4 THEN 'Late (31-120 days)' WHEN 5 THEN 'Current' WHEN 6 THEN ' ' "
-                   "ELSE 'Fully Paid' END",
+                   "ELSE 'Fully Paid' END END",
     "purpose": "o_orderpriority",
     "dti": "CASE WHEN o_orderkey % 40 = 3 THEN 'n/a' ELSE CONCAT(CAST(o_orderkey % 40 AS STRING), '.25') END",
     "earliest_cr_line": "CASE WHEN o_orderkey % 30 = 5 THEN 'bad-date' ELSE {MMM} END",
@@ -54,7 +57,28 @@ LOAN_BRONZE_EXPRS = {
     "pub_rec_bankruptcies": "CAST(o_orderkey % 2 AS STRING)",
     "application_type": "CASE WHEN o_orderkey % 10 = 9 THEN 'Joint App' ELSE 'Individual' END",
     "initial_list_status": "CASE WHEN o_orderkey % 3 = 0 THEN 'w' ELSE 'f' END",
+    "desc": "CASE WHEN o_orderkey % 9 = 0 THEN '' WHEN o_orderkey % 9 = 1 THEN CONCAT('first line, \"quoted\"', CHR(10), "
+            "'second line ', CAST(o_orderkey AS STRING)) ELSE CONCAT('plain ', CAST(o_orderkey % 7 AS STRING)) END",
+    "title": "CASE WHEN o_orderkey % 8 = 0 THEN '\"\"' WHEN o_orderkey % 8 = 1 THEN 'a, b' ELSE o_orderpriority END",
 }
+
+
+def _by_kind(column: str, n: int) -> str:
+    """Values of the ``n``-th column without a text of its own: mostly well-formed for its kind, else blank or malformed."""
+    k = f"o_orderkey % {n + 7}"
+    if column in DATE_COLUMNS:
+        value, bad = "{MMM}", "13-2015"
+    elif column in PERCENT_COLUMNS:
+        value, bad = f"CONCAT(CAST({k} AS STRING), '.25%')", "%%"
+    elif column in NUMERIC_COLUMNS:
+        value, bad = f"CONCAT(CAST({k} AS STRING), '.{n % 10}')", "1,5"
+    else:
+        value, bad = f"CONCAT('{column[:3]} ', CAST({k} AS STRING))", "  "
+    return (f"CASE (o_orderkey + {n}) % 12 WHEN 0 THEN ' ' WHEN 1 THEN '' WHEN 2 THEN '{bad}' WHEN 3 THEN NULL "
+            f"ELSE {value} END")
+
+
+LOAN_BRONZE_EXPRS.update({c: _by_kind(c, n) for n, c in enumerate(LOAN_COLUMNS) if c not in LOAN_BRONZE_EXPRS})
 # Message fixture: corrupt and missing payloads, partition/offset from the key.
 BAD_JSON_EVERY = 97
 NULL_JSON_EVERY = 89
@@ -74,18 +98,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _loan_rows(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    exprs = []
-    for c in LOAN_COLUMNS:
-        if c in LOAN_BRONZE_EXPRS:
-            exprs.append(f"{LOAN_BRONZE_EXPRS[c].replace('{MMM}', MONTH_TEXT)} AS `{c}`")
-        else:
-            exprs.append(f"CAST(NULL AS STRING) AS `{c}`")
+    joined = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey)
+    exprs = [f"{LOAN_BRONZE_EXPRS[c].replace('{MMM}', MONTH_TEXT)} AS `{c}`" for c in LOAN_COLUMNS]
     return joined.selectExpr(*exprs, *extra)
 
 
 def loan_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw all-string loan rows (151 columns; those without a fixture expression are NULL)."""
+    """Raw all-string loan rows (151 columns, each with well-formed, blank and malformed values)."""
     return _loan_rows(spark, sf_dir)
 
 
