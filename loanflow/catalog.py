@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanflow import fixtures as fx
@@ -46,7 +46,7 @@ from loanflow.schema import (
 )
 from loanflow.session import scratch_path
 from loanflow.sources import files
-from loanflow.sources.messages import SourceConfig, decode_messages, to_messages, with_backfill_metadata
+from loanflow.sources.messages import SourceConfig, decode_messages, message_text, publish, with_backfill_metadata
 
 REGISTRY: dict = {}
 
@@ -121,8 +121,14 @@ def q_table_overwrite(spark, sf_dir):
 
 @query("optional_scan")
 def q_optional_scan(spark, sf_dir):
-    missing = scratch_path(spark, "absent") + "/no_table_here"
-    return files.read_or_else(spark, missing, no_audit(gold(spark, sf_dir)))
+    """A missing path and a folder that is no table give the fallback, a written table gives itself."""
+    fallback = no_audit(gold(spark, sf_dir)).select("loan_status", "loan_amnt", LABEL)
+    root = scratch_path(spark, "optional")
+    files.write_table(fallback.where(F.col(LABEL) == 1), f"{root}/written")
+    fallback.select("loan_status").write.text(f"{root}/broken")
+    return reduce(DataFrame.unionByName, [
+        files.read_or_else(spark, f"{root}/{case}", fallback).withColumn("case", F.lit(case))
+        for case in ("missing", "written", "broken")])
 
 
 @query("table_ready")
@@ -137,10 +143,10 @@ def q_table_ready(spark, sf_dir):
 
 @query("publish_json")
 def q_publish_json(spark, sf_dir):
-    msgs = to_messages(fx.loan_bronze(spark, sf_dir), fx.MESSAGE_TOPIC)
-    shaped = msgs.select("key", "value", "topic", F.lit(None).cast("int").alias("partition"),
-                         F.lit(None).cast("long").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
-    return decode_messages(shaped, stamp=False).select(*LOAN_COLUMNS)
+    """Rows published as messages, read back and decoded; every message has its own partition and offset."""
+    path = scratch_path(spark, "published")
+    publish(fx.loan_bronze(spark, sf_dir), fx.MESSAGE_TOPIC, path=path)
+    return decode_messages(files.read_table(spark, path), stamp=False).select(*LOAN_COLUMNS)
 
 
 @query("json_decode")
@@ -184,8 +190,7 @@ def q_model_save_load(spark, sf_dir):
 
 @query("project_cast_rename")
 def q_project_cast_rename(spark, sf_dir):
-    return decode_messages(fx.messages(spark, sf_dir), stamp=False).select(
-        "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
+    return message_text(fx.messages(spark, sf_dir))
 
 
 @query("struct_expand")
@@ -391,7 +396,7 @@ def q_confusion_matrix(spark, sf_dir):
 
 @query("model_leaderboard")
 def q_model_leaderboard(spark, sf_dir):
-    return evaluate.leaderboard(evaluate.metrics_by_model(fx.scored(spark, sf_dir)))
+    return evaluate.leaderboard(evaluate.metrics_by_model(fx.scored(spark, sf_dir)), trees=["m2"])
 
 
 @query("except_distinct")
@@ -412,22 +417,50 @@ def q_split_report(spark, sf_dir):
     return split.split_report(split.hash_split(features(spark, sf_dir), "id"))
 
 
+def _share_ok(n: str, of: str, share: float):
+    """Sampled rows lie within six standard deviations (and one row) of the asked share."""
+    total = F.col(of).cast("double")
+    return F.abs(F.col(n) - total * share) <= 6 * F.sqrt(total * share * (1 - share)) + 1
+
+
+def _sample_report(every: DataFrame, sample: DataFrame, by: list, share: float) -> DataFrame:
+    """Per group: all rows, whether every distinct sampled row is one of them, whether the share is as asked."""
+    key = every.columns
+    both = (every.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("s"))
+            .unionByName(sample.groupBy(*key).agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("s"))))
+    rows = both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    out = rows.groupBy(*by).agg(F.sum("n").alias("n_rows"), F.sum("s").alias("_s"), F.every(F.col("s") <= F.col("n")).alias("subset"))
+    return out.select(*by, "n_rows", "subset", _share_ok("_s", "n_rows", share).alias("share_ok"))
+
+
 @query("stratified_sample")
 def q_stratified_sample(spark, sf_dir):
-    return split.stratified_sample(features(spark, sf_dir), LABEL, {0: 0.8, 1: 0.8}, 42)
+    f = staged_features(spark, sf_dir)
+    sample = files.stage_table(split.stratified_sample(f, LABEL, {0: 0.8, 1: 0.8}, 42), "sample")
+    return _sample_report(f, sample, [LABEL], 0.8)
 
 
 @query("split_parity")
 def q_split_parity(spark, sf_dir):
-    f = weights.with_class_weight(features(spark, sf_dir)).drop("id")
-    train, test = split.sample_and_subtract(f, LABEL, {0: 0.8, 1: 0.8}, 42)
-    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    return split.split_report(both)
+    """The reference order on feature vectors: fit on all rows, Bernoulli train, test = all EXCEPT DISTINCT train."""
+    from loanflow.plans.ml_ready import gold_to_ml_ready
+
+    train, test, _ = gold_to_ml_ready(gold(spark, sf_dir, keep=["id"]), key="id", parity=True)
+    both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    rows = both.groupBy("features", LABEL, WEIGHT).agg(F.sum("in_train").alias("t"), F.count(F.lit(1)).alias("n"))
+    out = rows.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("n_distinct"), F.count(F.when(F.col("t") > 0, 1)).alias("_t"),
+        F.every((F.col("t") == 0) | (F.col("t") == F.col("n"))).alias("disjoint"),
+        F.every((F.col("t") > 0) | (F.col("n") == 1)).alias("test_distinct"))
+    return out.select(LABEL, "n_distinct", "disjoint", "test_distinct",
+                      (F.col("_t") >= F.col("n_distinct") * 0.5).alias("train_is_larger"))
 
 
 @query("uniform_sample")
 def q_uniform_sample(spark, sf_dir):
-    return split.uniform_sample(gold(spark, sf_dir).select(*PREVIEW_COLUMNS), 0.2, 42)
+    g = files.stage_table(gold(spark, sf_dir).select(*PREVIEW_COLUMNS), "preview")
+    sample = files.stage_table(split.uniform_sample(g, 0.2, 42), "sample")
+    return _sample_report(g, sample, [], 0.2)
 
 
 # ======================================================================================
@@ -485,17 +518,22 @@ def q_standard_scale(spark, sf_dir):
 
 @query("assemble_features")
 def q_assemble_features(spark, sf_dir):
-    out = _fitted(spark, sf_dir)
-    arr = encode.as_array("features")
-    return out.select("id", F.size(arr).alias("n_slots"),
-                      F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"))
+    """Every non-zero slot of every vector."""
+    slots = _fitted(spark, sf_dir).select("id", F.posexplode(encode.as_array("features")).alias("slot", "value"))
+    return slots.withColumn("value", F.round("value", 6)).where(F.col("value") != 0)
+
+
+def _slot_sum(slots: str = "slots"):
+    """Sum of value x (slot + 1): differs when a value is wrong or stands in the wrong slot."""
+    weighted = F.transform(F.col(slots), lambda x, i: x * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x), 4)
 
 
 @query("feature_pipeline")
 def q_feature_pipeline(spark, sf_dir):
     ready, _ = encode.featurize(weighted_split(spark, sf_dir), fit_on="train", keep=("id", LABEL, WEIGHT))
-    return ready.select("id", LABEL, F.round(WEIGHT, 6).alias(WEIGHT), "split",
-                        F.size(encode.as_array("features")).alias("n_slots"))
+    return ready.withColumn("slots", encode.as_array("features")).select(
+        "id", LABEL, F.round(WEIGHT, 6).alias(WEIGHT), "split", F.size("slots").alias("n_slots"), _slot_sum().alias("slot_sum"))
 
 
 # ======================================================================================
@@ -508,46 +546,75 @@ def _train_test(spark, sf_dir):
     return gold_to_ml_ready(gold(spark, sf_dir, keep=["id"]), key="id")
 
 
-def _train_one(name):
-    def run(spark, sf_dir):
-        train, test, _ = _train_test(spark, sf_dir)
-        train, test = train.cache(), test.cache()
-        try:
-            _, _, metrics = train_and_evaluate(make_classifier(name), name, train, test)
-        finally:
-            # the metrics frame reads the checkpointed evaluation cells, not train/test: free the caches
-            train.unpersist()
-            test.unpersist()
-        return metrics.withColumnRenamed("model", "model_name")
-    return run
+def trained(spark, sf_dir, name: str) -> DataFrame:
+    """The metrics row of one classifier, trained and evaluated on the hash split."""
+    train, test, _ = _train_test(spark, sf_dir)
+    train, test = train.cache(), test.cache()
+    try:
+        _, _, metrics, _ = train_and_evaluate(make_classifier(name), name, train, test)
+    finally:
+        # the metrics frame reads the checkpointed evaluation cells, not train/test: free the caches
+        train.unpersist()
+        test.unpersist()
+    return metrics.withColumnRenamed("model", "model_name")
+
+
+def _checked(metrics: DataFrame) -> DataFrame:
+    """What any right metrics row satisfies, whatever the optimizer's path: all test rows are in the matrix,
+    accuracy follows from it and equals the weighted recall, and the model ranks better than chance but not perfectly."""
+    n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    accuracy = (F.col("tn") + F.col("tp")) / n
+    return metrics.select(
+        "model_name", n.alias("n_test"), (F.col("fn") + F.col("tp")).alias("n_positive"),
+        (F.abs(F.col("accuracy") - accuracy) < 1e-5).alias("accuracy_ok"),
+        (F.col("recall") == F.col("accuracy")).alias("recall_is_accuracy"),
+        F.col("auc").between(0.5, 0.9999).alias("auc_ok"), (F.col("train_seconds") > 0).alias("timed"))
 
 
 for _name, _key in [("LogisticRegression", "train_logistic_regression"), ("LinearSVC", "train_linear_svc"),
                     ("DecisionTree", "train_decision_tree"), ("RandomForest", "train_random_forest"),
                     ("GBTClassifier", "train_gbt")]:
-    query(_key)(_train_one(_name))
+    query(_key)(lambda spark, sf_dir, name=_name: _checked(trained(spark, sf_dir, name)))
 
 
 @query("train_and_evaluate")
 def q_train_and_evaluate(spark, sf_dir):
+    """Scored rows, metrics and importances of one run: rows per label, checked against the metrics row."""
     train, test, _ = _train_test(spark, sf_dir)
-    _, scored, _ = train_and_evaluate(make_classifier("LogisticRegression"), "LogisticRegression", train, test)
-    return scored
+    _, scored, metrics, importances = train_and_evaluate(make_classifier("DecisionTree"), "DecisionTree", train, test)
+    total = importances.agg(F.round(F.sum("importance"), 6).alias("importance_sum"), F.count(F.lit(1)).alias("n_slots"))
+    return (scored.groupBy("model", "label")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.col("prediction").isin(0.0, 1.0)).alias("binary"),
+                 F.count(F.when(F.col("prediction") == 1, 1)).alias("_p"))
+            .join(F.broadcast(metrics.select("model", "tn", "fp", "fn", "tp")), "model")
+            .join(F.broadcast(total))  # one row
+            .select(F.col("model").alias("model_name"), "label", "n_rows", "binary",
+                    (F.col("_p") == F.when(F.col("label") == 1, F.col("tp")).otherwise(F.col("fp"))).alias("in_matrix"),
+                    "importance_sum", "n_slots"))
 
 
 @query("probability_score")
 def q_probability_score(spark, sf_dir):
-    train, test, _ = _train_test(spark, sf_dir)
-    model = make_classifier("LogisticRegression").fit(train)
-    pred = model.transform(test)
-    return pred.select(LABEL, evaluate.positive_score(pred, "probability").alias("score"), "prediction")
+    ready, _ = encode.featurize(weighted_split(spark, sf_dir), fit_on="train", keep=("id", LABEL, WEIGHT))
+    ready = files.stage_table(ready, "ready")
+    model = make_classifier("LogisticRegression").fit(ready.where(F.col("split") == "train"))
+    pred = model.transform(ready.where(F.col("split") == "test"))
+    p = evaluate.positive_score(pred, "probability")
+    raw = evaluate.positive_score(pred)
+    return pred.select("id", LABEL, p.between(0, 1).alias("in_range"),
+                       (F.col("prediction") == (p > 0.5).cast("double")).alias("predicts_half"),
+                       (F.abs(p - 1 / (1 + F.exp(-raw))) < 1e-9).alias("is_logistic"))
 
 
 @query("feature_importance_topk")
 def q_feature_importance_topk(spark, sf_dir):
     train, test, _ = _train_test(spark, sf_dir)
     model = make_classifier("DecisionTree").fit(train)
-    return top_importances(model, train, 15, numeric_names=NUMERIC_FEATURES)
+    lower = F.lag("importance").over(Window.orderBy("rank"))  # fifteen rows
+    top = top_importances(model, train, 15)
+    return top.select("rank", F.col("feature").rlike("^(" + "|".join(NUMERIC_FEATURES + [f"{c}_ohe_.*" for c in CATEGORICAL_FEATURES]) + ")$").alias("named"),
+                      F.coalesce(F.col("importance") <= lower, F.lit(True)).alias("in_order"),
+                      F.col("importance").between(0, 1).alias("in_range"))
 
 
 @query("auc_roc")
@@ -625,12 +692,24 @@ def q_stream_append_sink(spark, sf_dir):
     return files.read_table(spark, _stream_bronze_table(spark, sf_dir, per_trigger=1)).drop(INGESTION_TS)
 
 
+#: Order keys per landed file of ``rate_limit``, where one file makes one micro-batch.
+BATCH_KEYS = 4_000
+
+
 @query("rate_limit")
 def q_rate_limit(spark, sf_dir):
+    """Messages landed as one file per key range, read one file per trigger: rows per micro-batch."""
+    from loanflow.streaming.ingest import stream_bronze
     from loanflow.streaming.progress import ingest_progress
 
-    table = files.read_table(spark, _stream_bronze_table(spark, sf_dir, per_trigger=2))
-    return ingest_progress(table).select("batch_rows", "total_rows")
+    src = scratch_path(spark, "ranges")
+    ranged = fx.messages(spark, sf_dir).withColumn(
+        "range", F.floor((F.col("offset") * fx.MESSAGE_PARTITIONS + F.col("partition")) / BATCH_KEYS))
+    ranged.repartition("range").write.partitionBy("range").parquet(src)
+    out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
+    cfg = SourceConfig(fmt="parquet", path=f"{src}/*", max_per_trigger=1)
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
+    return ingest_progress(files.read_table(spark, out)).select("batch_rows")
 
 
 @query("table_stream_scan")
@@ -646,31 +725,35 @@ def q_table_stream_scan(spark, sf_dir):
 
 @query("stream_silver")
 def q_stream_silver(spark, sf_dir):
-    from loanflow.streaming.ingest import stream_silver
+    """Silver starts before the Bronze folder exists, finds nothing, and takes everything after a restart."""
+    from loanflow.streaming.ingest import stream_bronze, stream_silver
 
-    bronze_path = _stream_bronze_table(spark, sf_dir)
+    bronze_path = scratch_path(spark, "bronze_stream")
     out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    _await(stream_silver(spark, bronze_path, out, ck, trigger={"availableNow": True},
-                         max_files_per_trigger=2))
+    once = {"availableNow": True}
+    _await(stream_silver(spark, bronze_path, out, ck, trigger=once, max_files_per_trigger=2))
+    cfg = SourceConfig(fmt="parquet", path=_land_messages(spark, sf_dir), max_per_trigger=2)
+    _await(stream_bronze(spark, cfg, bronze_path, scratch_path(spark, "bronze_ckpt"), trigger=once))
+    _await(stream_silver(spark, bronze_path, out, ck, trigger=once, max_files_per_trigger=2))
     return no_audit(files.read_table(spark, out))
 
 
 @query("chained_streams")
 def q_chained_streams(spark, sf_dir):
     """Bronze and Silver streams run at the same time, chained through the Bronze folder."""
-    from loanflow.streaming.ingest import stream_bronze, stream_silver
+    from loanflow.streaming.ingest import run_streams, stream_bronze, stream_silver
 
     src = _land_messages(spark, sf_dir)
     b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
     cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
     once = {"availableNow": True}
-    qb = stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
-    qs = stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2)
-    _await(qb)
-    _await(qs)
-    # Silver saw what Bronze had landed when it started; a restart on its checkpoint takes the rest.
-    _await(stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2))
+    bronze_run = lambda: stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
+    silver_run = lambda: stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2)
+    # the first of them to end stops the other; both then resume on their checkpoints and finish
+    run_streams(spark, [bronze_run(), silver_run()])
+    _await(bronze_run())
+    _await(silver_run())
     return no_audit(files.read_table(spark, s_out))
 
 
@@ -721,6 +804,28 @@ def q_backfill(spark, sf_dir):
     return backfill(spark, csv, scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
 
 
+def _long_part(name: str, df: DataFrame, keys: list, values: list) -> DataFrame:
+    """One profile table as (part, key, measure, value) rows."""
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]) if keys else F.lit("")
+    pairs = F.array(*[F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values])
+    return df.select(F.lit(name).alias("part"), key.alias("key"), F.inline(pairs))
+
+
+#: Key and value columns of each part of the Gold profile that is compared.
+PROFILE_PARTS = {
+    "shape": ([], ["n_rows"]),
+    "label_distribution": ([LABEL], ["count", "pct"]),
+    "class_balance": ([], ["n0", "n1", "ratio"]),
+    "describe": (["column_name"], ["count", "mean", "stddev", "min", "max"]),
+    "null_profile": (["column_name", "severity"], ["null_count", "null_pct"]),
+    "categorical": (["column_name", "value"], ["rank", "count", "pct"]),
+    "dominant": (["column_name", "value"], ["count", "pct"]),
+    "status_top": (["loan_status"], ["count", "pct"]),
+    "time_series": (["issue_d"], ["count"]),
+    "histogram": (["bin"], ["count"]),
+}
+
+
 @query("gold_profile")
 def q_gold_profile(spark, sf_dir):
     from loanflow.plans.profile import gold_profile
@@ -728,9 +833,7 @@ def q_gold_profile(spark, sf_dir):
     # Gold is a table in the reference; profile a written copy, not twelve re-parses of the raw rows
     table = files.stage_table(gold(spark, sf_dir, keep=["id"]).drop("id"), "gold")
     parts = gold_profile(table)
-    sizes = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
-             for name, df in parts.items()]
-    return reduce(DataFrame.unionByName, sizes)
+    return reduce(DataFrame.unionByName, [_long_part(name, parts[name], *kv) for name, kv in PROFILE_PARTS.items()])
 
 
 @query("gold_to_ml_ready")
@@ -741,9 +844,9 @@ def q_gold_to_ml_ready(spark, sf_dir):
     paths = write_ml_ready(train, test, model, scratch_path(spark, "ml_ready"))
     t = files.read_table(spark, paths["train"]).withColumn("split", F.lit("train"))
     s = files.read_table(spark, paths["test"]).withColumn("split", F.lit("test"))
-    both = t.unionByName(s)
-    return both.select("split", LABEL, F.round(WEIGHT, 6).alias(WEIGHT),
-                       F.size(encode.as_array("features")).alias("n_slots"))
+    both = t.unionByName(s).withColumn("slots", encode.as_array("features"))
+    return both.select("split", LABEL, F.round(WEIGHT, 6).alias(WEIGHT), F.size("slots").alias("n_slots"),
+                       _slot_sum().alias("slot_sum"))
 
 
 @query("train_all")
@@ -752,7 +855,12 @@ def q_train_all(spark, sf_dir):
 
     train, test, _ = _train_test(spark, sf_dir)
     board, _, _ = train_all(train, test)
-    return board.withColumnRenamed("model", "model_name")
+    board = board.withColumnRenamed("model", "model_name")
+    whole = Window.partitionBy()  # five models
+    flags = board.select("model_name", F.sum(F.col("is_best").cast("int")).over(whole).alias("n_best"),
+                         F.sum(F.col("is_best_tree").cast("int")).over(whole).alias("n_best_tree"),
+                         F.max("rank").over(whole).alias("n_models"))
+    return _checked(board).join(flags, "model_name")
 
 
 # Flagship: label distribution of Gold with the class weight of each label.

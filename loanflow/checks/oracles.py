@@ -1,12 +1,14 @@
 """DuckDB oracle text per registered query name (see ``loanflow.catalog``).
 
-Keys without an entry here get the driver's rows-only check: model training,
-Bernoulli sampling (partition-dependent) and stream batch sizing.
+Model training and Bernoulli samples differ between engines in their values;
+their queries return what can be counted (rows, labels, slots) and invariants
+that must be true, and the text here counts the same and states the truth.
 """
 
 from __future__ import annotations
 
 from loanflow import fixtures as fx
+from loanflow.catalog import BATCH_KEYS, PROFILE_PARTS
 from loanflow.checks.duckdb_sql import (
     SCORED,
     SILVER_ORDER,
@@ -90,7 +92,8 @@ oracle("table_scan", f"WITH lb AS ({lb_select()}) SELECT *, {BACKFILL_META} FROM
 oracle("backfill_metadata", ORACLES["table_scan"])
 oracle("table_stream_scan", ORACLES["table_scan"])
 oracle("table_overwrite", with_ctes(f"SELECT {cols(gold_columns())} FROM gd"))
-oracle("optional_scan", ORACLES["table_overwrite"])
+oracle("optional_scan", with_ctes("SELECT loan_status, loan_amnt, label, c.\"case\" FROM gd, "
+                                  "(VALUES ('missing'), ('written'), ('broken')) c(\"case\") WHERE c.\"case\" <> 'written' OR label = 1"))
 oracle("table_ready", with_ctes("SELECT true AS ready, false AS ready_before, COUNT(*) AS n_rows FROM gd"))
 oracle("publish_json", lb_select())
 oracle("json_decode", slb_select())
@@ -102,8 +105,12 @@ oracle("model_save_load", gold_ctes("SELECT id, label, true AS same_features FRO
 # ======================================================================================
 # B
 # ======================================================================================
-oracle("project_cast_rename", f"WITH slb AS ({slb_select()}) "
-                              "SELECT kafka_topic, kafka_partition, kafka_offset, kafka_timestamp FROM slb")
+_JSON = "json_object(" + ", ".join(f"'{c}', {qi(c)}" for c in LOAN_COLUMNS) + ")"
+oracle("project_cast_rename",
+       f"WITH lb AS ({lb_select('o_orderkey, o_orderdate')}) SELECT CASE WHEN o_orderkey % {fx.BAD_JSON_EVERY} = 0 THEN '{{bad' "
+       f"WHEN o_orderkey % {fx.NULL_JSON_EVERY} = 0 THEN NULL ELSE CAST({_JSON} AS VARCHAR) END AS message, "
+       f"'{fx.MESSAGE_TOPIC}' AS kafka_topic, CAST(o_orderkey % {fx.MESSAGE_PARTITIONS} AS INTEGER) AS kafka_partition, "
+       f"CAST(floor(o_orderkey / {fx.MESSAGE_PARTITIONS}) AS BIGINT) AS kafka_offset, o_orderdate AS kafka_timestamp FROM lb")
 oracle("struct_expand", f"WITH slb AS ({slb_select()}) SELECT {cols(LOAN_COLUMNS)} FROM slb")
 oracle("drop_sparse_columns", with_ctes(f"SELECT {cols(SILVER_NO_DROP)} FROM sv"))
 oracle("drop_leakage_columns", with_ctes(
@@ -245,7 +252,8 @@ oracle("roc_curve", scored_ctes(
     "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
 oracle("model_leaderboard", scored_ctes(
     "SELECT *, ROW_NUMBER() OVER (ORDER BY auc DESC NULLS LAST, model) AS rank, "
-    f"ROW_NUMBER() OVER (ORDER BY auc DESC NULLS LAST, model) = 1 AS is_best FROM ({_METRICS})"))
+    "ROW_NUMBER() OVER (ORDER BY auc DESC NULLS LAST, model) = 1 AS is_best, "
+    f"model = 'm2' AS is_best_tree FROM ({_METRICS})"))
 
 _FT_COLS = NUMERIC_FEATURES + CATEGORICAL_FEATURES + ["label"]
 oracle("except_distinct", gold_ctes(
@@ -271,13 +279,62 @@ oracle("standard_scale", gold_ctes(" UNION ALL ".join(
     f"SELECT id, {i} AS slot, ROUND(CASE WHEN s.sd = 0 OR s.sd IS NULL THEN 0.0 ELSE ({qi(c)} - s.m) / s.sd END, 6) AS value "
     f"FROM ft, (SELECT AVG({qi(c)}) AS m, STDDEV_SAMP({qi(c)}) AS sd FROM ft) s"
     for i, c in enumerate(NUMERIC_FEATURES))))
-_SLOTS_TRAIN = " + ".join(f"(SELECT COUNT(DISTINCT {qi(c)}) FROM ws WHERE split = 'train')" for c in CATEGORICAL_FEATURES)
-oracle("feature_pipeline", gold_ctes(
-    f'SELECT id, label, ROUND("classWeight", 6) AS "classWeight", split, '
-    f"CAST({len(NUMERIC_FEATURES)} + {_SLOTS_TRAIN} AS INTEGER) AS n_slots FROM ws"))
-oracle("gold_to_ml_ready", gold_ctes(
-    f'SELECT split, label, ROUND("classWeight", 6) AS "classWeight", '
-    f"CAST({len(NUMERIC_FEATURES)} + {_SLOTS_TRAIN} AS INTEGER) AS n_slots FROM ws"))
+
+
+def _vector(fit: str) -> str:
+    """CTEs for (id, slot, value) of every non-zero slot, the pipeline fitted on the rows of ``ws`` where ``fit``."""
+    parts = [f"SELECT ws.id, {i} AS slot, CASE WHEN s.sd = 0 OR s.sd IS NULL THEN 0.0 ELSE ({qi(c)} - s.m) / s.sd END AS value "
+             f"FROM ws, (SELECT AVG({qi(c)}) AS m, STDDEV_SAMP({qi(c)}) AS sd FROM ws WHERE {fit}) s"
+             for i, c in enumerate(NUMERIC_FEATURES)]
+    before = str(len(NUMERIC_FEATURES))
+    for c in CATEGORICAL_FEATURES:
+        parts.append(
+            f"SELECT ws.id, {before} + x.idx AS slot, 1.0 AS value FROM ws JOIN (SELECT value, ROW_NUMBER() OVER (ORDER BY n DESC, "
+            f"value ASC) - 1 AS idx FROM (SELECT {qi(c)} AS value, COUNT(*) AS n FROM ws WHERE {fit} GROUP BY {qi(c)})) x "
+            f"ON ws.{qi(c)} = x.value")
+        before += f" + (SELECT COUNT(DISTINCT {qi(c)}) FROM ws WHERE {fit})"
+    return f"vec AS ({' UNION ALL '.join(parts)}), size AS (SELECT {before} AS n_slots)"
+
+
+def vector_ctes(fit: str, body: str) -> str:
+    return gold_ctes(f", {_vector(fit)} {body}")
+
+
+_IN_TRAIN = "split = 'train'"
+oracle("assemble_features", vector_ctes("true", "SELECT id, CAST(slot AS INTEGER) AS slot, ROUND(value, 6) AS value FROM vec "
+                                                "WHERE ROUND(value, 6) <> 0"))
+_READY = ('label, ROUND("classWeight", 6) AS "classWeight", split, CAST((SELECT n_slots FROM size) AS INTEGER) AS n_slots, '
+          "ROUND(t.total, 4) AS slot_sum FROM ws JOIN (SELECT id, SUM(value * (slot + 1)) AS total FROM vec GROUP BY id) t USING (id)")
+oracle("feature_pipeline", vector_ctes(_IN_TRAIN, f"SELECT id, {_READY}"))
+oracle("gold_to_ml_ready", vector_ctes(_IN_TRAIN, f"SELECT {_READY}"))
+
+# ======================================================================================
+# H, J: samples and models
+# ======================================================================================
+oracle("stratified_sample", gold_ctes(
+    "SELECT label, COUNT(*) AS n_rows, true AS subset, true AS share_ok FROM ft GROUP BY label"))
+oracle("uniform_sample", with_ctes("SELECT COUNT(*) AS n_rows, true AS subset, true AS share_ok FROM gd"))
+oracle("split_parity", gold_ctes(
+    "SELECT label, COUNT(*) AS n_distinct, true AS disjoint, true AS test_distinct, true AS train_is_larger "
+    f"FROM (SELECT DISTINCT {cols(NUMERIC_FEATURES + CATEGORICAL_FEATURES + ['label'])} FROM ft) GROUP BY label"))
+_CHECKED = ("(SELECT COUNT(*) FROM ws WHERE split = 'test') AS n_test, "
+            "(SELECT COUNT(*) FROM ws WHERE split = 'test' AND label = 1) AS n_positive, "
+            "true AS accuracy_ok, true AS recall_is_accuracy, true AS auc_ok, true AS timed")
+_MODELS = {"train_logistic_regression": "LogisticRegression", "train_linear_svc": "LinearSVC",
+           "train_decision_tree": "DecisionTree", "train_random_forest": "RandomForest", "train_gbt": "GBTClassifier"}
+for _key, _model in _MODELS.items():
+    oracle(_key, gold_ctes(f"SELECT '{_model}' AS model_name, {_CHECKED}"))
+oracle("train_all", gold_ctes(
+    f"SELECT m.model_name, {_CHECKED}, CAST(1 AS BIGINT) AS n_best, CAST(1 AS BIGINT) AS n_best_tree, 5 AS n_models "
+    f"FROM (VALUES {', '.join(f'({chr(39)}{m}{chr(39)})' for m in _MODELS.values())}) m(model_name)"))
+oracle("train_and_evaluate", vector_ctes(_IN_TRAIN, (
+    "SELECT 'DecisionTree' AS model_name, label, COUNT(*) AS n_rows, true AS binary, true AS in_matrix, 1.0 AS importance_sum, "
+    "CAST((SELECT n_slots FROM size) AS BIGINT) AS n_slots FROM ws WHERE split = 'test' GROUP BY label")))
+oracle("probability_score", gold_ctes(
+    "SELECT id, label, true AS in_range, true AS predicts_half, true AS is_logistic FROM ws WHERE split = 'test'"))
+oracle("feature_importance_topk", vector_ctes(_IN_TRAIN, (
+    "SELECT CAST(range AS INTEGER) AS rank, true AS named, true AS in_order, true AS in_range "
+    "FROM range(1, 16), size WHERE range <= n_slots")))
 
 # ======================================================================================
 # K, L
@@ -290,6 +347,8 @@ oracle("message_source",
        f"CAST(floor(o_orderkey / {fx.MESSAGE_PARTITIONS}) AS BIGINT) AS offset, o_orderdate AS timestamp, "
        f"(o_orderkey % {fx.BAD_JSON_EVERY} <> 0 AND o_orderkey % {fx.NULL_JSON_EVERY} = 0) AS value_is_null "
        "FROM orders JOIN customer ON o_custkey = c_custkey")
+oracle("rate_limit", f"SELECT COUNT(*) AS batch_rows FROM orders JOIN customer ON o_custkey = c_custkey "
+                     f"GROUP BY floor(o_orderkey / {BATCH_KEYS})")
 oracle("stream_silver", stream_ctes("SELECT * FROM ssv"))
 oracle("chained_streams", stream_ctes("SELECT * FROM ssv"))
 oracle("ingest_progress", (
@@ -325,3 +384,31 @@ oracle("limit_n", with_ctes(
     f"SELECT loan_status, COUNT(*) AS count, {pct('COUNT(*)', N_GOLD)} AS pct FROM gd GROUP BY loan_status "
     "ORDER BY count DESC, loan_status ASC NULLS FIRST LIMIT 5"))
 oracle("distinct", ORACLES["distinct_pairs"])
+
+
+# ======================================================================================
+# Gold profile: the tables above as (part, key, measure, value) rows
+# ======================================================================================
+_PROFILE_SOURCES = {
+    "shape": ORACLES["row_count"],
+    "label_distribution": ORACLES["label_distribution"],
+    "class_balance": ORACLES["imbalance_flag"],
+    "describe": ORACLES["describe_numeric"],
+    "null_profile": with_ctes(" UNION ALL ".join(_null_row(c).replace("FROM sv", "FROM gd") for c in DESCRIBE_COLUMNS)),
+    "categorical": ORACLES["categorical_topk"],
+    "dominant": ORACLES["dominant_value"],
+    "status_top": ORACLES["status_topk"],
+    "time_series": ORACLES["time_series_count"],
+    "histogram": ORACLES["histogram"],
+}
+
+
+def _profile_part(name: str) -> str:
+    keys, values = PROFILE_PARTS[name]
+    key = " || '|' || ".join(f"COALESCE(CAST({qi(k)} AS VARCHAR), 'NULL')" for k in keys) or "''"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS part, {key} AS key, '{v}' AS measure, CAST({qi(v)} AS DOUBLE) AS value "
+        f"FROM ({_PROFILE_SOURCES[name]})" for v in values)
+
+
+oracle("gold_profile", " UNION ALL ".join(_profile_part(name) for name in PROFILE_PARTS))

@@ -86,12 +86,16 @@ def classification_metrics(scored: DataFrame, by="model", label: str = "label",
 
 
 def _score_counts(scored: DataFrame, by, label: str, score: str, weight: str | None = None) -> DataFrame:
-    """(model, score, pos, neg), checkpointed: bucket splits, offsets and windows all read this small frame."""
+    """(model, score, pos, neg) for bucket splits, offsets and windows.
+
+    Rows are read once and the counts stored; ``weight`` says that ``scored`` is already a stored frame of cells,
+    which is grouped again where it is needed instead of being stored twice.
+    """
     y = F.col(label)
     counts = (scored.where(F.col(score).isNotNull())
               .groupBy(*by, F.col(score).cast("double").alias("score"))
               .agg(_count(y == 1, weight).alias("pos"), _count(y == 0, weight).alias("neg")))
-    return materialize(counts)
+    return counts if weight else materialize(counts)
 
 
 def auc_roc(scored: DataFrame, by="model", label: str = "label", score: str = "score",
@@ -114,15 +118,13 @@ def roc_curve(scored: DataFrame, by="model", label: str = "label", score: str =
     """(model, threshold, fpr, tpr) at every distinct score: rates of rows scoring >= threshold."""
     by = _by(by)
     counts = _score_counts(scored, by, label, score)
-    cum = running_totals(counts, "score", ["pos", "neg"], by=by, descending=True, n_buckets=n_buckets)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    joined = cum.join(totals, on=by, how="inner") if by else cum.withColumns(
-        {"_p": counts.select(F.sum("pos")).scalar(), "_n": counts.select(F.sum("neg")).scalar()})
-    return joined.select(
+    cum = running_totals(counts, "score", ["pos", "neg"], by=by, descending=True, n_buckets=n_buckets,
+                         total_prefix="all_")
+    return cum.select(
         *by,
         F.round(F.col("score"), DIGITS).alias("threshold"),
-        F.round(F.coalesce(F.try_divide(F.col("cum_neg").cast("double"), F.col("_n").cast("double")), F.lit(0.0)), DIGITS).alias("fpr"),
-        F.round(F.coalesce(F.try_divide(F.col("cum_pos").cast("double"), F.col("_p").cast("double")), F.lit(0.0)), DIGITS).alias("tpr"),
+        F.round(F.coalesce(F.try_divide(F.col("cum_neg").cast("double"), F.col("all_neg").cast("double")), F.lit(0.0)), DIGITS).alias("fpr"),
+        F.round(F.coalesce(F.try_divide(F.col("cum_pos").cast("double"), F.col("all_pos").cast("double")), F.lit(0.0)), DIGITS).alias("tpr"),
     )
 
 
@@ -142,11 +144,16 @@ def metrics_by_model(scored: DataFrame, by="model", label: str = "label", score:
         *by, "auc", "accuracy", "f1", "precision", "recall", "tn", "fp", "fn", "tp")
 
 
-def leaderboard(metrics: DataFrame, name: str = "model", metric: str = "auc") -> DataFrame:
-    """Models ordered by ``metric`` desc (ties by name) with rank 1..n and an ``is_best`` flag.
+def leaderboard(metrics: DataFrame, name: str = "model", metric: str = "auc", trees=()) -> DataFrame:
+    """Models ordered by ``metric`` desc (ties by name) with rank 1..n, ``is_best`` and ``is_best_tree``.
+
+    ``is_best_tree`` marks the first of the models named in ``trees``, whose importances are worth reporting.
 
     ``metrics`` holds one row per trained model, so the ranking window is over a handful of rows.
     """
     w = Window.orderBy(F.desc_nulls_last(metric), F.col(name))
     ranked = metrics.withColumn("rank", F.row_number().over(w))
-    return ranked.withColumn("is_best", F.col("rank") == 1).orderBy("rank")
+    is_tree = F.col(name).isin(*trees) if trees else F.lit(False)
+    best_tree = F.min(F.when(is_tree, F.col("rank"))).over(Window.partitionBy())
+    return ranked.withColumns({"is_best": F.col("rank") == 1,
+                               "is_best_tree": F.coalesce(F.col("rank") == best_tree, F.lit(False))}).orderBy("rank")

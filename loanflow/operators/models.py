@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanflow.operators.evaluate import metrics_by_model, positive_score
-from loanflow.schema import LABEL, WEIGHT
+from loanflow.schema import LABEL, NUMERIC_FEATURES, WEIGHT
 
 # FIXED VALUES: classifier settings (all weighted by the class-weight column).
 CLASSIFIERS = {
@@ -47,13 +47,18 @@ def scored_frame(predictions: DataFrame, name: str, label: str = LABEL) -> DataF
 
 
 def train_and_evaluate(estimator, name: str, train: DataFrame, test: DataFrame):
-    """Fit on ``train`` (timed), score ``test``; returns (model, scored rows, metrics row with train_seconds)."""
+    """Fit on ``train`` (timed) and score ``test``.
+
+    Returns (model, scored rows, metrics row with train_seconds, importances); the last is a frame
+    (rank, slot, feature, importance) of all slots for a tree model and None for the others.
+    """
     t0 = time.time()
     model = estimator.fit(train)
     seconds = time.time() - t0
     scored = scored_frame(model.transform(test), name)
     metrics = metrics_by_model(scored).withColumn("train_seconds", F.lit(round(seconds, 3)))
-    return model, scored, metrics
+    importances = ranked_importances(model, train) if hasattr(model, "featureImportances") else None
+    return model, scored, metrics, importances
 
 
 def feature_names(df: DataFrame, col: str = "features", numeric_names=None) -> list[str]:
@@ -78,8 +83,8 @@ def feature_names(df: DataFrame, col: str = "features", numeric_names=None) -> l
     return out
 
 
-def top_importances(model, df: DataFrame, k: int = 15, col: str = "features", numeric_names=None) -> DataFrame:
-    """Top-``k`` feature importances of a tree model with slot names: (rank, slot, feature, importance)."""
+def ranked_importances(model, df: DataFrame, col: str = "features", numeric_names=NUMERIC_FEATURES) -> DataFrame:
+    """Feature importances of a tree model with slot names, highest first: (rank, slot, feature, importance)."""
     imp = model.featureImportances.toArray().tolist()
     names = feature_names(df, col, numeric_names)
     rows = [(i, names[i] if i < len(names) else f"Feature_{i}", float(v)) for i, v in enumerate(imp)]
@@ -87,4 +92,9 @@ def top_importances(model, df: DataFrame, k: int = 15, col: str = "features", nu
     frame = spark.createDataFrame(rows, "slot int, feature string, importance double")
     # one row per vector slot: a window over the model's feature count, not over data rows
     w = Window.orderBy(F.desc("importance"), "slot")
-    return frame.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return frame.withColumn("rank", F.row_number().over(w))
+
+
+def top_importances(model, df: DataFrame, k: int = 15, col: str = "features", numeric_names=NUMERIC_FEATURES) -> DataFrame:
+    """The ``k`` highest feature importances of a tree model."""
+    return ranked_importances(model, df, col, numeric_names).where(F.col("rank") <= k)

@@ -50,9 +50,11 @@ def with_range_bucket(df: DataFrame, key: str, n_buckets: int | None = None, out
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols, by=(), descending: bool = False,
-                   n_buckets: int | None = None, prefix: str = "cum_", prev_col: str | None = None) -> DataFrame:
+                   n_buckets: int | None = None, prefix: str = "cum_", prev_col: str | None = None,
+                   total_prefix: str | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over the rows of the same ``by`` group whose order key is <= this row's
-    (>= when ``descending``), ties included.  Optionally ``prev_col`` = the closest smaller (larger) key.
+    (>= when ``descending``), ties included.  Optionally ``prev_col`` = the closest smaller (larger) key,
+    and with ``total_prefix`` also ``<total_prefix><c>``, the sum over the whole group (from the small offsets table).
 
     ``order_col`` must be numeric and non-NULL.
     """
@@ -65,10 +67,13 @@ def running_totals(df: DataFrame, order_col: str, sum_cols, by=(), descending: b
     totals = base.groupBy(*by, _BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums],
                                             F.max(_KEY).alias("_bmax"))
     wb = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    group_sums = [F.sum(f"_t_{c}").over(whole).alias(f"{total_prefix}{c}") for c in sums] if total_prefix else []
     offsets = totals.select(
         *by, _BUCKET,
         *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in sums],
         F.max("_bmax").over(wb).alias("_prev_bmax"),
+        *group_sums,
     )
     joined = base.join(offsets, on=by + [_BUCKET], how="inner")
     wk = Window.partitionBy(*by, _BUCKET).orderBy(_KEY).rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -50,7 +50,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for tables a job writes."""
-    return f"{checkpoint_root(spark)}/loanflow/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/loanflow/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+#: Paths handed out by this process, for ``remove_scratch``.
+_SCRATCH: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process wrote, once no frame read from them is needed; returns their number."""
+    removed = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def materialize(df: DataFrame) -> DataFrame:

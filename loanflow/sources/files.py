@@ -58,6 +58,12 @@ def stage_table(df: DataFrame, name: str = "stage", fmt: str = DEFAULT_FORMAT) -
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create an empty folder, so that a stream can watch it before its writer has started."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
