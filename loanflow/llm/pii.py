@@ -20,6 +20,7 @@ scanned in linear time (no pattern backtracks over a run); an empty table gives
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NUMBER = re.compile(r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}[0-9])++")
 SPELLED = re.compile(r"([A-Za-z0-9._%+-]{1,64})\s?[\[(]\s?at\s?[\])]\s?([A-Za-z0-9-]{1,63}(?:\s?[\[(]\s?dot\s?[\])]\s?[A-Za-z0-9-]{1,63}|\.[A-Za-z0-9-]{1,63}){1,8})")
 ANY_DIGIT = re.compile("[0-9]")
+HANDLE = re.compile(r"[A-Za-z0-9._%+@-]+")
+LEAST_NAME = 4
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -88,27 +91,55 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _key(kind: int, body: str) -> str:
+    """What equal things of a kind have in common: the name of an address, the numbers of an ip, the digits else."""
+    if kind == 0:
+        return "@" + body[:body.index("@")].lower()
+    return ".".join(p.lstrip("0") or "0" for p in body.split(".")) if kind == 1 else _digits(body)
+
+
+class _Taken:
+    """The places that base spans cover, for tests of overlap in logarithmic time."""
+
+    def __init__(self, base: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, s, e in sorted(base, key=lambda x: x[1]):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def free(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k == 0 or self.ends[k - 1] <= start
+
+
+def _names_in(text: str, names: set[str]) -> Iterator[tuple[int, int]]:
+    """Places where a handle is one of the names, or begins with one up to a dot; of several, the longest."""
+    heads, lengths = {n[:LEAST_NAME] for n in names}, sorted({len(n) for n in names}, reverse=True)
+    for m in HANDLE.finditer(text):
+        if text[m.start():m.start() + LEAST_NAME].lower() in heads:
+            handle = m[0].lower()
+            for n in lengths:
+                if (n == len(handle) or handle[n:n + 1] == ".") and handle[:n] in names:
+                    yield m.start(), m.start() + n
+                    break
+
+
 def _candidates(text: str, base: list[Span]) -> list[tuple[int, int, int, str, int]]:
     """(start, end, base kind or -1, key, kind that it may have) of all candidates, by place."""
-    out = []
-    for kind, start, end in base:
-        body = text[start:end]
-        out.append((start, end, kind, "@" + body[:body.index("@")].lower() if kind == 0 else _digits(body) if kind != 1 else body, kind))
-    taken = sorted((s, e) for _, s, e in base)
-    starts, ends = np.array([s for s, _ in taken], int), np.array([e for _, e in taken], int)
-    free = lambda s, e: not len(taken) or not ((starts < e) & (ends > s)).any()
-    numbers = [k for k, *_ in base if k in (2, 3)]
-    if numbers:
+    out = [(start, end, kind, _key(kind, text[start:end]), kind) for kind, start, end in base]
+    free = _Taken(base).free
+    if any(k in (2, 3) for k, *_ in base):
         for m in NUMBER.finditer(text):
             d = _digits(m[0])
             if 7 <= len(d) <= 19 and free(m.start(), m.end()):
                 out.append((m.start(), m.end(), -1, d, 2 if len(d) >= 16 else 3))
-    names = {text[s:e].split("@")[0].lower() for k, s, e in base if k == 0}
-    names = {n for n in names if len(n) >= 4}
+    names = {key[1:] for _, _, kind, key, _ in out if kind == 0 and len(key) > LEAST_NAME}
     if names:
-        for m in re.finditer("|".join(rf"(?<![A-Za-z0-9._%+@-]){re.escape(n)}(?![A-Za-z0-9_%+@-])" for n in sorted(names, key=len, reverse=True)), text, re.I):
-            if free(m.start(), m.end()):
-                out.append((m.start(), m.end(), -1, "@" + m[0].lower(), 0))
+        out += [(s, e, -1, "@" + text[s:e].lower(), 0) for s, e in _names_in(text, names) if free(s, e)]
         for m in SPELLED.finditer(text):
             if free(m.start(), m.end()):
                 out.append((m.start(), m.end(), -1, "@" + m[1].lower(), 0))

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -211,6 +213,34 @@ def test_pii_patterns_against_regex():
         assert sorted(pii.base_spans(t)) == want, t
 
 
+def test_pii_names_equal_alternation_regex():
+    rnd, names = random.Random(11), {"anna", "anna.b", "a_b-c%", "carl", "karla", "x" * 70}
+    rx = re.compile("|".join(rf"(?<![A-Za-z0-9._%+@-]){re.escape(n)}(?![A-Za-z0-9_%+@-])" for n in sorted(names, key=len, reverse=True)), re.I | re.A)
+    for _ in range(5000):
+        t = "".join(rnd.choice(["anna", "Anna.B", "a_b-c%", "CARL", ".", ".b", "@", " ", "é", "-", "x" * 70, "la", ","]) for _ in range(rnd.randrange(8)))
+        assert list(pii._names_in(t, names)) == [m.span() for m in rx.finditer(t)], t
+
+
+def test_pii_overlap_equals_all_pairs():
+    rnd = random.Random(12)
+    for _ in range(500):
+        spans = [(rnd.randrange(4), s, s + rnd.randrange(1, 9)) for s in (rnd.randrange(60) for _ in range(rnd.randrange(8)))]
+        taken = pii._Taken(spans)
+        for s in range(60):
+            e = s + rnd.randrange(1, 9)
+            assert taken.free(s, e) == all(not (a < e and b > s) for _, a, b in spans)
+
+
+def test_pii_long_text_with_many_spans():
+    n = 20_000
+    text = " ".join(f"user{i}.x@mail.example.org user{i}.x or +49 30 {1_000_000 + i} or 4930 {1_000_000 + i} or" for i in range(n)) + " " + "0" * 300_000 + "1.2.3.4"
+    at = time.time()
+    base, full = pii.all_spans(text)
+    assert sum(k == 0 for k, *_ in base) == n == sum(k == 3 for k, *_ in base) and sum(k == 1 for k, *_ in base) == 1
+    assert len(full) == len(base) + 2 * n
+    assert time.time() - at < 60
+
+
 def test_lexicon_automaton_against_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
@@ -232,6 +262,28 @@ def test_lexicon_automaton_against_edit_distance():
         assert auto.edits(w) == (0 if exact else 1 if near else 9), w
 
 
+def test_automaton_that_forgets_agrees(monkeypatch):
+    terms, rnd = {"idiot": "word", "scum": "word", "loweing": "stem"}, random.Random(9)
+    words = ["".join(rnd.choice("idotscumlweng") for _ in range(rnd.randrange(1, 10))) for _ in range(3000)] + ["idiot", "idot", "scum", "loweings", "loxeings"]
+    whole = [toxicity.LexiconAutomaton(terms).edits(w) for w in words]
+    monkeypatch.setattr(toxicity, "MAX_STATES", 5)
+    small = toxicity.LexiconAutomaton(terms)
+    assert [small.edits(w) for w in words] == whole
+
+
+def test_misspellings_count_and_own_words_do_not(spark):
+    rnd = random.Random(10)
+    filler = lambda: " ".join(rnd.choice(["tree", "river", "stone", "cloud", "house"]) + str(rnd.randrange(50)) for _ in range(12))
+    toxic = [(i, f"{filler()} you idiot {filler()} pathetic {filler()} idiot", 1) for i in range(120)]
+    clean = [(1000 + i, f"{filler()} you an idiom {filler()}" if i % 3 else f"you {filler()}", 0) for i in range(400)]
+    rows = spark.createDataFrame(toxic + clean, "doc_id long, text string, toxic int")
+    model = toxicity.learn(rows.drop("toxic"), rows.select("doc_id", "toxic"))
+    assert "idiot" in model.terms and "idiom" in model.plain
+    assert model.hits("an idiom") == (0, 0, 0) and model.hits("you idi0t") == (0, 1, 0)
+    assert model.score("you idi0t so pathetyc, idlot and ydiot") >= 0.5
+    assert model.score("an idiom and one more idiom, no other idiom") < 0.5 and model.score("") < 0.5
+
+
 def test_quotation_counts_apart():
     m = toxicity.Model({"idiot": "word"}, (0.0,) * 4)
     assert m.hits("you idiot") == (1, 0, 0) and m.hits("you 1diot!") == (0, 1, 0) and m.hits('she said "you idiot" to me') == (0, 0, 1) and m.hits("") == (0, 0, 0)
