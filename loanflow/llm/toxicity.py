@@ -7,8 +7,10 @@ become the lexicon.  Texts count by the MinHash of their three-word shingles, so
 Scoring: each word of a text runs through the lexicon automaton, the product of the terms' trie with a
 Levenshtein automaton (one insertion, deletion or substitution for terms long enough), built state by
 state as words need it.  A hit inside quotation marks, or next to words of reporting, within its
-context window counts as quotation.  A logistic function of the log counts of exact, misspelled and quoted
+context window counts as quotation.  A logistic function of the log counts of open and quoted
 hits, fitted on the same sample, gives the score; labels, language, source and id are no inputs.
+A misspelled hit counts ``MISSPELLED`` of an exact one.  Words of clean sample texts that are one edit from a
+term, and not much likelier in toxic texts, are words of their own and no misspellings.
 
 Cases: null text is empty and gets the score of no hits; rows come back one for one, null ids and copies too;
 without labels of both kinds the score is the (smoothed) share of toxic labels; empty tables give empty results; other columns are not read.
@@ -34,7 +36,10 @@ LEAST_SHARE = 0.005
 LIFT = 25.0
 ONE_EDIT = {"word": 5, "stem": 7}
 CONTEXT = 40
+MISSPELLED = 0.5
+#: What a worker remembers: words, and states of the automaton; beyond that it starts again.
 MEMO_WORDS = 1 << 16
+MAX_STATES = 1 << 14
 #: Marks that open or close a quotation, and words that report one.
 QUOTES = "\"“”„«»‹›「」"
 REPORTING = ("said", "says", "called", "wrote", "quoted", "quote", "sagte", "nannte", "zitat", "dit", "appelé", "citation", "dijo", "llamó", "cita")
@@ -59,6 +64,9 @@ class LexiconAutomaton:
                 node = self.children[node][c]
             ends = self.word_end if kind == "word" else self.stem_end
             ends[node] = 2 if len(term) >= ONE_EDIT[kind] else 1
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.accepts: list[tuple[int, int]] = []  # edits by which a word may end here, and by which a stem has been read (9: none)
@@ -96,6 +104,8 @@ class LexiconAutomaton:
 
     def edits(self, word: str) -> int:
         """0 or 1: edits from the nearest term that the word is, or that it begins with (a stem); 9: none is near."""
+        if len(self.members) > MAX_STATES:
+            self._forget()
         state, best = self.start, 9
         for c in word:
             to = self.moves[state].get(c)
@@ -112,14 +122,15 @@ class LexiconAutomaton:
 @dataclass
 class Model:
     terms: dict[str, str] = field(default_factory=dict)
-    weights: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)  # of 1, exact, misspelled, quoted
+    weights: tuple[float, ...] = (0.0, 0.0, 0.0)  # of 1, open hits, quoted hits
+    plain: frozenset[str] = frozenset()  # words of their own beside a term
 
     def __post_init__(self):
         self.automaton: LexiconAutomaton | None = None
         self.memo: dict[str, int] = {}
 
     def __getstate__(self):
-        return {"terms": self.terms, "weights": self.weights, "automaton": None, "memo": {}}
+        return {"terms": self.terms, "weights": self.weights, "plain": self.plain, "automaton": None, "memo": {}}
 
     def hits(self, text: str) -> tuple[int, int, int]:
         """How many exact, misspelled and quoted terms a text has."""
@@ -130,7 +141,8 @@ class Model:
         memo, low = self.memo, text.lower()
         words = low.split()
         for w in set(words).difference(memo):
-            memo[w] = self.automaton.edits(w.strip(EDGE))
+            bare = w.strip(EDGE)
+            memo[w] = 9 if bare in self.plain else self.automaton.edits(bare)
         found = [(k, e) for k, w in enumerate(words) if (e := memo[w]) < 9]
         if not found:
             return 0, 0, 0
@@ -155,11 +167,18 @@ class Model:
         opens = max((before.rfind(q) for q in QUOTES), default=-1)
         return (opens >= 0 or words[k][0] in QUOTES) and any(q in after[1:] for q in QUOTES)
 
-    def features(self, text: str) -> np.ndarray:
-        return np.array([1.0, *np.log1p(self.hits(text))])
+    def scores(self, texts: list[str]) -> np.ndarray:
+        x = feature_rows([self.hits(t) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights), -30, 30)))
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.features(text) @ np.array(self.weights), -30, 30))))
+        return float(self.scores([text])[0])
+
+
+def feature_rows(hits: list[tuple[int, ...]]) -> np.ndarray:
+    """Rows (1, log of open hits, log of quoted hits) from rows (exact, misspelled, quoted)."""
+    h = np.array(hits, float).reshape(-1, 3)
+    return np.c_[np.ones(len(h)), np.log1p(h[:, 0] + MISSPELLED * h[:, 1]), np.log1p(h[:, 2])]
 
 
 def _source_key(words: Column) -> Column:
@@ -174,8 +193,26 @@ def frequent_terms(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     word = F.struct(F.lit("word").alias("kind"), F.col("word").alias("term"))
     each = counted.where("length(word) between 3 and 40").select("t", "c", F.explode(F.array_compact(F.array(word, *stems))).alias("x"))
     sums = each.groupBy("x.kind", "x.term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    lift = (F.col("t") / n_toxic) / ((F.col("c") + 0.5) / n_clean)
-    return sums.where((F.col("t") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)) & (lift >= LIFT))
+    return sums.where((F.col("t") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)) & (_lift(n_toxic, n_clean) >= LIFT))
+
+
+def _lift(n_toxic: int, n_clean: int) -> Column:
+    """How many times likelier a word is in toxic texts, from its counts t and c."""
+    return (F.col("t") / n_toxic) / ((F.col("c") + 0.5) / n_clean)
+
+
+def plain_words(counted: DataFrame, terms: dict[str, str], n_toxic: int, n_clean: int) -> frozenset[str]:
+    """Words one edit from a term that clean texts of the sample have, unless they are much likelier in toxic ones.
+
+    Collected are words beside a term only, from ``LABELLED_ROWS`` texts at most.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = LexiconAutomaton(terms)
+        for b in batches:
+            yield b.filter(pa.array([automaton.edits(w) == 1 for w in b.column("word").to_pylist()], pa.bool_()))
+
+    clean = counted.where((F.col("c") > 0) & (_lift(n_toxic, n_clean) < LIFT)).select("word")
+    return frozenset(r["word"] for r in clean.mapInArrow(run, "word string").collect())
 
 
 def choose_terms(frequent: list[tuple[str, str, int, int]]) -> dict[str, str]:
@@ -234,15 +271,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = (n.get(1, 0) + 0.5) / (total + 1)
     base = float(np.log(share / (1 - share)))
     if not n.get(1) or not n.get(0):
-        return Model({}, (base, 0.0, 0.0, 0.0))
+        return Model({}, (base, 0.0, 0.0))
     sample_words = staged(sample.select("toxic", F.split(F.lower("text"), r"\s+").alias("words")), "toxic-words")
     per_text = sample_words.select("toxic", _source_key(F.col("words")).alias("key"), F.array_distinct("words").alias("words"))
     per_text = per_text.select("toxic", "key", F.explode("words").alias("word")).withColumn("word", F.btrim("word", F.lit(EDGE))).distinct()
     toxic_key = F.when(F.col("toxic") == 1, F.col("key"))
-    counted = per_text.groupBy("word").agg(F.approx_count_distinct(toxic_key, 0.02).alias("t"), F.sum((F.col("toxic") == 0).cast("int")).alias("c"))
-    model = Model(choose_terms([tuple(r) for r in frequent_terms(counted, n[1], n[0]).collect()]))
+    counted = staged(per_text.groupBy("word").agg(
+        F.approx_count_distinct(toxic_key, 0.02).alias("t"), F.sum((F.col("toxic") == 0).cast("int")).alias("c")), "toxic-counts")
+    terms = choose_terms([tuple(r) for r in frequent_terms(counted, n[1], n[0]).collect()])
+    model = Model(terms, plain=plain_words(counted, terms, n[1], n[0]))
     x, y = _sample_features(sample, model)
-    return Model(model.terms, tuple(float(v) for v in fit_logistic(x, y)))
+    return Model(terms, tuple(float(v) for v in fit_logistic(x, y)), model.plain)
 
 
 def _sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +291,7 @@ def _sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.nd
             yield pa.record_batch([b.column("toxic"), *(pa.array([h[k] for h in hits], pa.int64()) for k in range(3))], names=["toxic", "a", "b", "c"])
 
     cells = sample.select("text", "toxic").mapInArrow(run, "toxic int, a long, b long, c long").collect()
-    x = np.array([[1.0, *np.log1p(r[1:])] for r in cells])
-    return x, np.array([r[0] for r in cells], float)
+    return feature_rows([tuple(r[1:]) for r in cells]), np.array([r[0] for r in cells], float)
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -262,7 +300,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
-            score = pa.array([model.score(t) for t in b.column("text").to_pylist()], pa.float64())
+            score = pa.array(model.scores(b.column("text").to_pylist()), pa.float64())
             yield pa.record_batch([*b.columns, score], names=[*b.schema.names, "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -273,6 +311,6 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     """The rows whose text is not predicted toxic, with all their columns as they were."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
-            yield b.filter(pa.array([model.score(t or "") < 0.5 for t in b.column(text_col).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array(model.scores([t or "" for t in b.column(text_col).to_pylist()]) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
