@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame
 from loanflow.llm.common import id_and_text
 
 MARK = "▁"
+#: What a worker remembers: so many words, none longer than ``MEMO_CHARS``.
 MEMO_WORDS = 1 << 20
+MEMO_CHARS = 64
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
@@ -191,7 +193,9 @@ class Codec:
         for w in parts:
             got = memo.get(w)
             if got is None:
-                got = memo[w] = self._word(MARK + w)
+                got = self._word(MARK + w)
+                if len(w) <= MEMO_CHARS:
+                    memo[w] = got
             out.append(got)
         return out
 
