@@ -6,8 +6,9 @@ paragraphs, and a paragraph is inserted or deleted by adding or subtracting its
 (``insert``, ``delete``) without reading the rest of the text.
 
 The vector has ``EQUAL`` lanes of 60 bits hashed from the whole paragraph, which decide
-equality, and ``LIKE`` longs of three 20-bit lanes that count, over the paragraph's phrases
-(pieces between punctuation), the set bits of a hash; the last lane counts phrases.  From
+equality, and ``LIKE`` longs of two 30-bit lanes that count, over the paragraph's phrases
+(pieces between punctuation), the set bits of a hash; the last lane counts phrases.  A text has fewer than
+2^30 phrases (a string has less than 2^31 bytes), so no lane runs over into the next.  From
 the counts a signed sum per lane follows, and the mean square of the difference of two
 texts' signed sums estimates how many phrases differ: ``likeness`` is one minus that, divided by the
 two texts' own sizes, kept within 0 and 1.
@@ -25,12 +26,12 @@ from pyspark.sql.window import Window
 from loanflow.llm.common import id_and_text
 
 EQUAL = 4
-LIKE = 16
-LANES = 3 * LIKE
+LIKE = 24
+LANES = 2 * LIKE
 WIDTH = EQUAL + LIKE + 1
 POWER = (1 << 60) - 1
-SPREAD = (1 << 40) | (1 << 20) | 1
-LOW = (1 << 20) - 1
+SPREAD = (1 << 30) | 1
+LOW = (1 << 30) - 1
 #: In ``with_next``: rows per bucket of neighbouring ids, and the most buckets (bounds the broadcast table of their first rows).
 BUCKET_ROWS = 4096
 MAX_BUCKETS = 16384
@@ -46,9 +47,9 @@ def _sum(vectors: Column, width: int) -> Column:
 
 
 def _phrase_vector(phrase: Column) -> Column:
-    # sixteen longs from four hashes: each uses three of the bits in steps of 20 after a shift
+    # twenty-four longs from four hashes: each uses two bits of a hash, 30 apart, after a shift
     h = [F.xxhash64(F.lit(k), phrase) for k in range(4)]
-    words = [F.shiftrightunsigned(h[k], s).bitwiseAND(F.lit(SPREAD)) for k in range(4) for s in (0, 5, 10, 15)]
+    words = [F.shiftrightunsigned(h[k], s).bitwiseAND(F.lit(SPREAD)) for k in range(4) for s in range(0, 30, 5)]
     return F.array(*words, F.lit(1).cast("long"))
 
 
@@ -84,7 +85,7 @@ def _signed(fp: Column) -> Column:
     n = F.element_at(fp, WIDTH)
     lane = lambda x, s: F.shiftrightunsigned(x, s).bitwiseAND(F.lit(LOW))
     return F.flatten(F.transform(F.slice(fp, EQUAL + 1, LIKE), lambda x: F.array(
-        *[(2 * lane(x, s) - n).cast("double") for s in (0, 20, 40)])))
+        *[(2 * lane(x, s) - n).cast("double") for s in (0, 30)])))
 
 
 def _power(v: Column) -> Column:

@@ -156,6 +156,14 @@ def test_fingerprint_is_homomorphic(spark):
     assert r["i"] and r["d"] and r["e"] == 1.0
 
 
+def test_counting_lanes_hold_long_texts(spark):
+    """More phrases than 2^20: the lanes of a repeated phrase count it without running over."""
+    n = (1 << 20) + 77
+    df = spark.createDataFrame([("ab." * n, "ab.")], "long string, one string")
+    long, one = df.select(fingerprint.fingerprint(F.col("long")), fingerprint.fingerprint(F.col("one"))).first()
+    assert long[fingerprint.EQUAL:] == [n * x for x in one[fingerprint.EQUAL:]]
+
+
 def test_next_row_over_buckets(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 3)
     ids = random.Random(2).sample(range(10_000), 50)
