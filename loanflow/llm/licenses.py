@@ -7,14 +7,14 @@ five consecutive words (a shorter template is one shingle of all its words).
    cannot add to the containment of any template.  Most texts end here.
 2. The projection is cut into windows of ``WINDOW`` words, each overlapping the next by
    half, the half being at least as long as the longest template: every passage that long lies in one window whole.
-3. A window's MinHash signature (``BANDS`` bands of ``ROWS`` values) is joined with the
-   templates' signatures.  A window that holds ``CONTAINMENT`` of a template and no other
-   template's shingles has Jaccard similarity s >= 0.75 with it on the projection and is
-   retrieved with probability 1 - (1 - s^ROWS)^BANDS > 1 - 1e-11.  Shingles of other templates in
-   the same window lower s: at s = 0.4 it is still above 0.99999.
+3. A window's shingles are projected on each template that has one of them: retrieval for a template does not depend
+   on what else is in the window.  The MinHash signature of that projection (``BANDS`` bands of ``ROWS`` values) is
+   compared with the template's.  On the projection the Jaccard similarity is the share s of the template's shingles that the window
+   holds, so a window with s >= ``CONTAINMENT`` is retrieved with probability 1 - (1 - s^ROWS)^BANDS > 1 - 1e-22,
+   and one that holds the whole template for certain.
 4. Retrieved pairs are verified: the share of the template's shingles in the window, compared as text.
 
-Templates are few (a parameter); their signatures are broadcast, ``MAX_TEMPLATES`` at most.
+Templates are few (a parameter); their shingles and signatures are broadcast, ``MAX_TEMPLATES`` at most.
 
 Cases: null text is empty; rows without a match give no row; null ids stay; copies and repeated rows give
 the same matches each; an empty table gives an empty result; other columns are not read.
@@ -111,9 +111,12 @@ def scan_licenses(docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text
     win = win.select("doc_id", "row_key", (F.col("w") * step).alias("first_word"),
                      F.array_distinct(F.filter(F.slice("hashes", F.col("w") * step + 1, WINDOW), in_template)).alias("projected"),
                      F.slice("words", F.col("w") * step + 1, WINDOW + SHINGLE - 1).alias("words")).where(F.size("projected") > 0)
-    bands = win.select("*", F.explode(F.array_distinct(signature(F.col("projected")))).alias("band"))
-    own = tpl.select("template", "license", "shingles", F.explode(F.array_distinct(signature(F.col("hashes")))).alias("band"))
-    pairs = bands.join(F.broadcast(own), "band").dropDuplicates(["row_key", "first_word", "template"])
+    # one row per window and template that share a shingle, with the template's shingles that the window holds
+    owners = tpl.select("template", F.explode("hashes").alias("hash"))
+    held = win.withColumn("hash", F.explode("projected")).join(F.broadcast(owners), "hash").groupBy("row_key", "first_word", "template").agg(
+        F.first("doc_id").alias("doc_id"), F.first("words").alias("words"), F.collect_set("hash").alias("held"))
+    own = tpl.select("template", "license", "shingles", signature(F.col("hashes")).alias("own_bands"))
+    pairs = held.join(F.broadcast(own), "template").where(F.arrays_overlap(signature(F.col("held")), F.col("own_bands")))
     share = F.size(F.array_intersect(shingles(F.col("words")), F.col("shingles"))) / F.size("shingles")
     found = pairs.select("doc_id", "row_key", "template", "license", "first_word", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
     best = F.max(F.struct("containment", (-F.col("first_word")).alias("before")))

@@ -325,6 +325,15 @@ def test_license_passage_across_windows(spark):
     assert {r["doc_id"] for r in got if r["template"] == 0 and r["containment"] == 1.0} == set(range(40, 200, 7))
 
 
+def test_licenses_beside_each_other(spark):
+    """Every pair of notices in one window, both orders: both are found whole, whatever the other one is."""
+    n = len(licenses.NOTICES)
+    rows = [(a * n + b, f"{licenses.NOTICES[a][1]} and then some {licenses.NOTICES[b][1]}") for a in range(n) for b in range(n)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = {(r["doc_id"], r["template"]) for r in got if r["containment"] == 1.0}
+    assert [(a, b) for a in range(n) for b in range(n) if not {(a * n + b, a), (a * n + b, b)} <= whole] == []
+
+
 def test_packing_odd_rows(odd):
     rows = packing.pack(odd, RANKS).collect()
     assert sum(r["length"] for r in rows if r["start"] == 0 and r["doc_id"] == 1) == 2  # two blank texts: the end id each
