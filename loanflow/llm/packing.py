@@ -21,6 +21,7 @@ own; repeated rows are packed each; null ids stay; an empty table gives an empty
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,10 +39,34 @@ ITEM_TOKENS = 1 << 16
 GROUP_TOKENS = 1 << 20
 WINDOW_SEQUENCES = 64
 LEAST_PIECE = 64
+#: tiktoken's regex engine fails on runs of about 1,000,000 white-space characters; those from here on are encoded without it.
+LONG_RUN = 1 << 18
+#: White space of the pattern (Unicode White_Space); Python's has four control characters more.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 _encoders: dict = {}
 
 
+def encode_long(enc, special: dict[str, int], text: str) -> list[int]:
+    """Ids of a text that may have long white-space runs.  Those are cut out where the pattern cuts them: before their last
+    character, or at their end where a special string or the end of the text follows."""
+    ids: list[int] = []
+    parts = re.split(f"({'|'.join(map(re.escape, sorted(special, key=len, reverse=True)))})", text) if special else [text]
+    for k, part in enumerate(parts):
+        if k % 2:
+            ids.append(special[part])
+            continue
+        at = 0
+        for m in SPACES.finditer(part):
+            if m.end() - m.start() >= LONG_RUN:
+                end = m.end() - (m.end() < len(part))
+                ids += enc.encode_ordinary(part[at:m.start()])
+                ids += enc._encode_single_piece(part[m.start():end])
+                at = end
+        ids += enc.encode_ordinary(part[at:])
+    return ids
+
+
 def byte_bpe(ranks_path: str, special: dict[str, int]):
     """An encoder of the byte-level BPE vocabulary at ``ranks_path``, one per worker; texts to lists of ids, specials recognised in texts."""
     key = (ranks_path, tuple(special.items()))
@@ -55,7 +80,8 @@ def byte_bpe(ranks_path: str, special: dict[str, int]):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         allowed = set(special)
-        _encoders[key] = lambda text: enc.encode(text, allowed_special=allowed, disallowed_special=())
+        _encoders[key] = lambda text: (encode_long(enc, special, text) if len(text) >= LONG_RUN
+                                       else enc.encode(text, allowed_special=allowed, disallowed_special=()))
     return _encoders[key]
 
 

@@ -334,6 +334,16 @@ def test_licenses_beside_each_other(spark):
     assert [(a, b) for a in range(n) for b in range(n) if not {(a * n + b, a), (a * n + b, b)} <= whole] == []
 
 
+def test_long_white_space_equals_library():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end, n = "<|endoftext|>", 1_200_000
+    encode = packing.byte_bpe(RANKS, {end: 50256})
+    for text in (" " * n, "word" + " " * n + "a", "b" + "\n" * n + "c's", f"a{end}" + "\t " * (n // 2) + end + " " * 300_000 + "\x1c\u3000x  y"):
+        assert encode(text) == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_odd_rows(odd):
     rows = packing.pack(odd, RANKS).collect()
     assert sum(r["length"] for r in rows if r["start"] == 0 and r["doc_id"] == 1) == 2  # two blank texts: the end id each
