@@ -5,15 +5,17 @@
    of ids before it, from running sums within a task and sums over the tasks before.
 2. The token share of each source is its target.  The stream is divided into groups of about ``GROUP_TOKENS`` ids;
    an item belongs to the group in which its source's accumulated quantum passes
-   the item's place.  A group that starts with an item cut off from its target begins with that
+   the item's place.  Each queue is turned by a phase hashed from its name (places are modulo the source's ids), so that small
+   sources, however many, start all over the stream and not in the first group.  A group that starts with an item cut off from its target begins with that
    deficit, so deficits carry over from group to group wherever they run.
 3. Within a group, windows of ``WINDOW_SEQUENCES`` sequences are filled by deficit
    round-robin: each source gains its share of the window, sends items (cut where its deficit
-   ends, if at least ``LEAST_PIECE`` ids go) and carries the rest to the next window.
+   ends, if at least ``LEAST_PIECE`` ids go) and carries the rest to the next window.  A source whose share of a window
+   is less than ``LEAST_PIECE`` ids sends an item whole when the accumulated quantum passes its place.
 4. The group's ids fill sequences of ``SEQUENCE`` ids; the rest of the last one is cut into
    sequences whose lengths are powers of two, which need no padding.
 
-A group holds every source's share, so a source with most of the rows is spread over all groups.
+A source with most of the rows is spread over all groups, and small sources over groups by their phases.
 
 Cases: a null text is empty and has the end id alone; a null source is a queue of its
 own; repeated rows are packed each; null ids stay; an empty table gives an empty result; other columns are not read.
@@ -141,8 +143,8 @@ def queue_places(items: DataFrame) -> DataFrame:
 PIECES = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), ("ids", pa.binary()), ("source", pa.string())])
 
 
-def pack_group(group: int, n_groups: int, items: list[tuple]) -> list[tuple]:
-    """Pieces of one group.  ``items``: (doc_id, queue, source, start, doc_tokens, place, total, ids as numpy array)."""
+def pack_group(group: int, n_groups: int, total: int, items: list[tuple]) -> list[tuple]:
+    """Pieces of one group; ``total``: the ids of all groups.  ``items``: (doc_id, queue, source, start, doc_tokens, place, total, ids as numpy array)."""
     items.sort(key=lambda x: (x[1], x[5]))
     queues: dict[str, list] = {}
     for x in items:
@@ -152,29 +154,26 @@ def pack_group(group: int, n_groups: int, items: list[tuple]) -> list[tuple]:
     quantum = {q: queues[q][0][6] / n_groups for q in names}
     deficit = {q: group * quantum[q] - queues[q][0][5] for q in names}
     head, taken = dict.fromkeys(names, 0), dict.fromkeys(names, 0)
-    window = WINDOW_SEQUENCES * SEQUENCE
-    share = window / max(sum(quantum.values()), 1)
+    # what each source gains in a window; sources without an item in this group leave their part of the window to it
+    gain = {q: quantum[q] * WINDOW_SEQUENCES * SEQUENCE * n_groups / total for q in names}
     order: list[tuple] = []  # (item, from, to)
-    sent = 0
-    while sent < size:
+    while names:
         for q in names:
-            deficit[q] += quantum[q] * share
-            while head[q] < len(queues[q]):
+            deficit[q] += gain[q]
+            while head[q] < len(queues[q]) and deficit[q] > 0:
                 item = queues[q][head[q]]
                 rest = len(item[7]) - taken[q]
-                go = rest if deficit[q] >= rest else int(deficit[q])
+                go = rest if deficit[q] >= rest or gain[q] < LEAST_PIECE else int(deficit[q])
                 if go < min(rest, LEAST_PIECE):
                     break
                 if rest - go < LEAST_PIECE:  # no crumbs: the deficit goes below 0 and is carried
                     go = rest
                 order.append((item, taken[q], taken[q] + go))
                 deficit[q] -= go
-                sent += go
                 taken[q] += go
                 if taken[q] == len(item[7]):
                     head[q], taken[q] = head[q] + 1, 0
-                if deficit[q] <= 0:
-                    break
+        names = [q for q in names if head[q] < len(queues[q])]
     # lengths of the group's sequences: full ones, then powers of two
     left, lengths = size % SEQUENCE, [SEQUENCE] * (size // SEQUENCE)
     lengths += [1 << b for b in range(SEQUENCE.bit_length() - 2, -1, -1) if left >> b & 1]
@@ -198,14 +197,17 @@ def pack(docs: DataFrame, ranks_path: str, special: dict[str, int] | None = None
     items = tokenize(docs, ranks_path, special, "_source", dtype)
     total = items.agg(F.sum("n")).first()[0] or 0
     n_groups = max(1, -(-total // GROUP_TOKENS))
-    placed = queue_places(items).withColumn("group", F.floor(F.col("place") * F.lit(n_groups).cast("decimal(20,0)") / F.col("total")).cast("long"))
+    # a fraction of the source's ids, as a source may have fewer ids than there are groups
+    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    placed = queue_places(items).withColumn("place", (F.col("place") + phase * F.col("total")) % F.col("total").cast("double"))
+    placed = placed.withColumn("group", F.least(F.floor(F.col("place") * n_groups / F.col("total")), F.lit(n_groups - 1)).cast("long"))
 
     names, types = zip(*[(f.name, f.type) for f in PIECES], strict=True)
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         items = [(*r[:7], np.frombuffer(r[7], dtype).astype("<u4")) for r in zip(*(rows.column(c).to_pylist() for c in (
             "doc_id", "queue", "source", "start", "doc_tokens", "place", "total", "ids")), strict=True)]
-        pieces = pack_group(key[0].as_py(), n_groups, items)
+        pieces = pack_group(key[0].as_py(), n_groups, total, items)
         return pa.table([pa.array(c, t) for c, t in zip(zip(*pieces, strict=True), types, strict=True)], names=list(names))
 
     return placed.groupBy("group").applyInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, source string")

@@ -344,6 +344,31 @@ def test_long_white_space_equals_library():
         assert encode(text) == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_many_small_sources(spark, monkeypatch):
+    """Half of the ids in one source, half in as many sources as documents: groups stay near their size and near the mixture."""
+    monkeypatch.setattr(packing, "GROUP_TOKENS", 4096)
+    docs = spark.range(6000).selectExpr("id AS doc_id", "'one two three four five six seven' AS text", "if(id % 2 = 0, 'large', concat('site ', id)) AS source")
+    groups: dict = {}
+    for r in packing.pack(docs, RANKS).select("sequence_id", "length", "source").collect():
+        group = groups.setdefault(r["sequence_id"] >> 32, [0, 0])
+        group[r["source"] == "large"] += r["length"]
+    assert sum(map(sum, groups.values())) == 6000 * 8 and len(groups) == 12
+    assert all(0.75 * 4096 < small + large < 1.25 * 4096 and 0.4 < large / (small + large) < 0.6 for small, large in groups.values())
+
+
+def test_small_sources_spread_over_windows():
+    """Five hundred small sources beside a large one: every quarter of the group has about their share."""
+    group, n_groups, total = 40, 100, 100 << 20
+    large = [(k, "=large", "large", 0, 9000, group * 900_000 + k * 9000, 90_000_000, np.zeros(9000, "<u4")) for k in range(100)]
+    small = [(-k, f"=s{k}", f"s{k}", 0, 250, group * 400 + k * 400 // 500, 40_000, np.zeros(250, "<u4")) for k in range(500)]
+    rows = packing.pack_group(group, n_groups, total, large + small)
+    size, share = 900_000 + 125_000, 125_000 / 1_025_000
+    quarters = [0] * 4
+    for r in rows:
+        quarters[min(3, ((r[5] & 0xFFFFFFFF) * 1024 + r[6]) * 4 // size)] += r[2] * (r[8] != "large")
+    assert sum(r[2] for r in rows) == size and all(abs(q / (size / 4) - share) < 0.05 for q in quarters)
+
+
 def test_packing_odd_rows(odd):
     rows = packing.pack(odd, RANKS).collect()
     assert sum(r["length"] for r in rows if r["start"] == 0 and r["doc_id"] == 1) == 2  # two blank texts: the end id each
