@@ -7,8 +7,10 @@ paragraphs, and a paragraph is inserted or deleted by adding or subtracting its
 
 The vector has ``EQUAL`` lanes of 60 bits hashed from the whole paragraph, which decide
 equality, and ``LIKE`` longs of two 30-bit lanes that count, over the paragraph's phrases
-(pieces between punctuation), the set bits of a hash; the last lane counts phrases.  A text has fewer than
-2^30 phrases (a string has less than 2^31 bytes), so no lane runs over into the next.  From
+(pieces between punctuation, long ones cut further), the set bits of a hash; the last lane counts phrases.  A phrase is cut
+after the first of certain bytes from its ``LEAST_UNIT``-th byte on, ``MOST_UNIT`` at the latest: the cuts follow the content, so
+an edit changes the units near it only, also in a text without punctuation.  A text has fewer than
+2^30 units (a string has less than 2^31 bytes), so no lane runs over into the next.  From
 the counts a signed sum per lane follows, and the mean square of the difference of two
 texts' signed sums estimates how many phrases differ: ``likeness`` is one minus that, divided by the
 two texts' own sizes, kept within 0 and 1.
@@ -32,6 +34,12 @@ WIDTH = EQUAL + LIKE + 1
 POWER = (1 << 60) - 1
 SPREAD = (1 << 30) | 1
 LOW = (1 << 30) - 1
+#: Bytes of a unit of the counting lanes; it ends after a byte of value 5 modulo 8 (in English, e, m and u) or at a mark.
+LEAST_UNIT = 12
+MOST_UNIT = 48
+_MARKS = r".,;:!?|\n"
+_ENDS = "".join(f"\\x{b:02x}" for b in range(5, 256, 8) if chr(b) not in ".,;:!?|\n")
+UNIT = f"[^{_MARKS}]{{{LEAST_UNIT - 1},{MOST_UNIT - 1}}}?[{_ENDS}]|[^{_MARKS}]{{1,{MOST_UNIT}}}"
 #: In ``with_next``: rows per bucket of neighbouring ids, and the most buckets (bounds the broadcast table of their first rows).
 BUCKET_ROWS = 4096
 MAX_BUCKETS = 16384
@@ -60,7 +68,8 @@ def _paragraph_vector(paragraph: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text, as an array of ``WIDTH`` longs."""
     paragraphs = F.filter(F.split(text, "\n"), lambda p: p != "")
-    phrases = F.filter(F.split(text, r"[.,;:!?|\n]+"), lambda p: p != "")
+    # one character a byte, so that the cuts work in every script
+    phrases = F.regexp_extract_all(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), F.lit(UNIT), F.lit(0))
     equal = _sum(F.transform(paragraphs, _paragraph_vector), EQUAL)
     like = _sum(F.transform(phrases, _phrase_vector), LIKE + 1)
     return F.concat(equal, like)

@@ -164,6 +164,18 @@ def test_counting_lanes_hold_long_texts(spark):
     assert long[fingerprint.EQUAL:] == [n * x for x in one[fingerprint.EQUAL:]]
 
 
+def test_likeness_without_punctuation(spark):
+    """Texts of one phrase: each is much nearer to itself with a third replaced, or with words put in front, than to another text."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    kanji = [chr(c) for c in range(0x4E00, 0x5200)]
+    texts = [" ".join(rng.choices(words, k=60 + 10 * k)) for k in range(40)] + ["".join(rng.choices(kanji, k=200 + 40 * k)) for k in range(20)]
+    rows = [(t, t[:len(t) * 2 // 3] + texts[k - 1][:len(t) // 3], texts[k - 1][:12] + t, texts[k - 1]) for k, t in enumerate(texts)]
+    fps = spark.createDataFrame(rows, "a string, tail string, front string, other string").select(*[fingerprint.fingerprint(F.col(c)).alias(c) for c in ("a", "tail", "front", "other")])
+    got = fps.select(*[fingerprint.likeness(F.col("a"), F.col(c)).alias(c) for c in ("tail", "front", "other")]).collect()
+    assert all(r["tail"] > r["other"] + 0.2 and r["front"] > r["other"] + 0.4 for r in got)
+
+
 def test_next_row_over_buckets(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 3)
     ids = random.Random(2).sample(range(10_000), 50)
