@@ -140,6 +140,41 @@ def op4(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op11_decontamination")
+def op11(spark, sf_dir):
+    from loanflow.llm.decontamination import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
+
+
+ORACLES["op11_decontamination"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, len(w[i:i + 9]) AS m, array_to_string(w[i:i + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT m FROM item_windows
+), doc_windows AS (
+  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, lengths WHERE len(w) >= m)
+), found AS MATERIALIZED (
+  SELECT DISTINCT r, d.m AS m, i, item_id FROM doc_windows d JOIN item_windows b ON b.m = d.m AND b.phrase = d.phrase
+), hits AS (
+  SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS pos FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS item_list
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+
 ORACLES["op1_chat_formatting"] = f"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
