@@ -175,6 +175,53 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
 
 
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    from loanflow.llm.whitening import whiten_embeddings
+
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))[0]
+
+
+@query("op13_vector_codes")
+def op13(spark, sf_dir):
+    from loanflow.llm.vector_codes import compress
+
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else "").alias("codebooks_sha256"))
+
+
+def _codes_sql(scale: int = 4096, parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """SQL of op13: the rounds written out one after another."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT r, p, e, d FROM (
+    SELECT c.r, c.p, b.e, sum((c.v - b.v) * (c.v - b.v)) AS d FROM comp c JOIN book{i} b ON b.p = c.p AND b.j = c.j GROUP BY c.r, c.p, b.e)
+  QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)""")
+        if i < rounds:
+            steps.append(f"""book{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.j, coalesce((s - ((s % n) + n) % n) // n, b.v) AS v FROM book{i} b LEFT JOIN (
+    SELECT p, e, j, sum(v) AS s, count(*) AS n FROM near{i} JOIN comp USING (r, p) GROUP BY p, e, j) m USING (p, e, j))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS r, * FROM (
+    SELECT vec_id, label, [CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0)
+), comp AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(x) // {parts}) AS p, (i - 1) % (len(x) // {parts}) AS j, x[i] AS v
+  FROM (SELECT r, x, unnest(range(1, len(x) + 1)) AS i FROM kept)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, v FROM comp WHERE r <= {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
+
+
 ORACLES["op1_chat_formatting"] = f"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
