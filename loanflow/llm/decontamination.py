@@ -136,12 +136,13 @@ def find(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
 
     second = terms.where("rank = 1")
     lists = index.join(second.select("term").distinct(), "term", "left_semi")
-    two = _places(found.where("n_terms > 1"), second, slop).join(lists, here, "left_semi").select(*cand)
+    two = _places(found.where("n_terms > 1"), second, slop).join(lists.hint("merge"), here, "left_semi").select(*cand)
     left = staged(found.where("n_terms = 1").unionByName(two.distinct()), "candidates")
 
     rest = terms.where("rank > 1")
-    lists = index.join(left.where("n_terms > 2").select(*KEY).distinct(), KEY, "left_semi")
-    seen = _places(left.where("n_terms > 2"), rest, slop).join(lists, here, "left_semi").select(*cand, "rank").distinct()
+    # the texts with candidates grow with the input: one plan at every size, a shuffle of the postings by text
+    lists = index.join(left.where("n_terms > 2").select(*KEY).distinct().hint("merge"), KEY, "left_semi")
+    seen = _places(left.where("n_terms > 2"), rest, slop).join(lists.hint("merge"), here, "left_semi").select(*cand, "rank").distinct()
     whole = seen.groupBy(*cand).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("n_terms") - 2).select(*cand)
     return staged(left.where("n_terms <= 2").unionByName(whole), "occurrences")
 
