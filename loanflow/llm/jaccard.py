@@ -30,6 +30,7 @@ in the smallest id of a component; an empty table gives an empty result; other c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +56,12 @@ MEET = "array<struct<i:int,both:boolean,j:int>>"
 CHUNK = 1 << 19
 
 _U = np.uint64
-_BASE, _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0xD6E8FEB86659FD93)
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
+_A, _B, _C = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0xD6E8FEB86659FD93)
+#: Bytes of a word that are mixed block by block.
+LONG_WORD = 64
+_EIGHT = np.arange(8)
+#: The lowest n bytes of a block, by n.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,24 +70,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _grow_powers(n: int) -> None:
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK + 1)
-        for k, base in enumerate((int(_BASE), pow(int(_BASE), -1, 1 << 64))):
-            p = np.full(size, base, _U)
-            p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=_U)
-
-
 def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the words of lower-cased bytes: a polynomial hash from running sums, then mixed."""
+    """(start, hash) of the words of lower-cased bytes.
+
+    A word is taken in blocks of eight bytes, and its hash is mixed after each block; words of over ``LONG_WORD`` bytes take
+    64 bits of a cryptographic hash.  (No running polynomial: modulo 2^64 those collide on structured words.)
+    """
     a = np.frombuffer(data, np.uint8)
     space = (a == 32) | ((a >= 9) & (a <= 13))
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
     start, end = edge[::2], edge[1::2]
-    _grow_powers(len(a) + 1)
-    total = np.r_[np.zeros(1, _U), np.cumsum((a.astype(_U) + _U(1)) * _powers[0][:len(a)], dtype=_U)]
-    return start, _mix((total[end] - total[start]) * _powers[1][start] + (end - start).astype(_U) * _C)
+    size = end - start
+    a = np.r_[a, np.zeros(8, np.uint8)]
+    acc = size.astype(_U) * _C
+    who = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while who.size:
+        rest = size[who] - at
+        block = np.ascontiguousarray(a[(start[who] + at)[:, None] + _EIGHT]).view("<u8").ravel() & _KEEP[np.minimum(rest, 8)]
+        acc[who] = _mix((acc[who] ^ block) * _A + _B)
+        at += 8
+        who = who[rest > 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        acc[i] = int.from_bytes(blake2b(data[start[i]:end[i]], digest_size=8).digest(), "little")
+    return start, acc
 
 
 def _doc_words(data: bytes) -> np.ndarray:
@@ -472,7 +483,7 @@ def large_links(sets: DataFrame) -> DataFrame:
         out, both = np.array(rows.column("out").to_pylist(), bool), key[2].as_py()
         return _edges(join_sets(s) if both else cross_join_blocks(s, out), names)
 
-    return stars.unionByName(dealt.groupBy("region", "i", "both", "j").applyInArrow(run, "a long, b long"))
+    return stars.unionByName(dealt.repartition("region", "i", "both", "j").groupBy("region", "i", "both", "j").applyInArrow(run, "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -511,8 +522,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the one with the smallest id, and every row without a word.
 
-    An id is taken to name one document: rows that share an id stay or go together.
+    Null ids come last, and of rows that share an id (or have none) the one with the smallest hash of id and text
+    stays.  Only rows equal in id and text stay or go together.
     """
-    groups = jaccard_components(docs, id_col, text_col)
-    stay = groups.where(F.col("cls").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep_id"))
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_keep_id")), "left_semi")
+    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    named = docs.select(row.alias("doc_id"), F.col(text_col).alias("text"))
+    groups = staged(jaccard_components(named).select(F.col("doc_id").alias("_row"), "cls", "component_id"), "row-groups")
+    ids = docs.select(F.col(id_col).cast("long").alias("id"), row.alias("_row"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row"))["_row"]
+    least = ids.join(groups.where("cls is not null"), "_row").groupBy("component_id").agg(first.alias("_keep"))
+    free = "_keep"
+    while free in docs.columns:
+        free += "_"
+    stay = least.select(F.col("_keep").alias(free)).unionByName(groups.where("cls is null").select(F.col("_row").alias(free)))
+    return docs.join(stay, row == F.col(free), "left_semi")
