@@ -103,6 +103,16 @@ def q_csv_scan(spark, sf_dir):
     return files.read_loans_csv(spark, path)
 
 
+@query("csv_scan_parallel")
+def q_csv_scan_parallel(spark, sf_dir):
+    """The CSV of ``csv_scan``, each file cut into splits of 256 KB whatever its quoted line feeds."""
+    from loanflow.sources.csv_records import read_loans_csv_parallel
+
+    path = scratch_path(spark, "csv")
+    files.write_loans_csv(fx.loan_bronze(spark, sf_dir), path)
+    return read_loans_csv_parallel(spark, path, split_bytes=256 << 10)
+
+
 @query("table_scan")
 def q_table_scan(spark, sf_dir):
     path = scratch_path(spark, "bronze")
@@ -119,6 +129,25 @@ def q_table_overwrite(spark, sf_dir):
     return files.read_table(spark, path)
 
 
+@query("versioned_overwrite")
+def q_versioned_overwrite(spark, sf_dir):
+    """A table replaced as a whole: an overwrite that fails half-way leaves the version before, the next one replaces it."""
+    from pyspark.errors import PySparkException
+
+    from loanflow.sources.versions import read_version, write_version
+
+    path = scratch_path(spark, "gold")
+    g = no_audit(gold(spark, sf_dir))
+    write_version(g.where(F.col(LABEL) == 1).select("loan_status", LABEL), path)
+    try:
+        write_version(g.withColumn("broken", F.when(F.col(LABEL) == 0, F.raise_error(F.lit("half-way")).cast("int"))), path)
+    except PySparkException:
+        before = read_version(spark, path)
+    write_version(g, path)
+    return (read_version(spark, path).withColumn("version", F.lit("last")).select("version", "loan_status", LABEL, "loan_amnt")
+            .unionByName(before.withColumn("version", F.lit("before")), allowMissingColumns=True))
+
+
 @query("optional_scan")
 def q_optional_scan(spark, sf_dir):
     """A missing path and a folder that is no table give the fallback, a written table gives itself."""
@@ -642,7 +671,7 @@ def q_roc_curve(spark, sf_dir):
 # ======================================================================================
 
 #: Messages per landed file: the number of files, and with it of decode tasks, follows the data.
-LANDED_MESSAGES = 5_000
+LANDED_MESSAGES = 20_000
 
 
 def _land_messages(spark, sf_dir, where=None) -> str:
@@ -660,12 +689,12 @@ def _await(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def _stream_bronze_table(spark, sf_dir, per_trigger: int = 2) -> str:
+def _stream_bronze_table(spark, sf_dir) -> str:
     from loanflow.streaming.ingest import stream_bronze
 
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=per_trigger)
+    cfg = SourceConfig(fmt="parquet", path=src)
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     return out
 
@@ -676,7 +705,7 @@ def q_message_source(spark, sf_dir):
 
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "raw_stream"), scratch_path(spark, "raw_ckpt")
-    stream = read_messages(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2))
+    stream = read_messages(spark, SourceConfig(fmt="parquet", path=src))
     _await(files.append_stream(stream.drop("key"), out, ck, trigger={"availableNow": True}))
     return files.read_table(spark, out).select(
         "topic", "partition", "offset", "timestamp", F.col("value").isNull().alias("value_is_null"))
@@ -689,7 +718,7 @@ def q_stream_bronze(spark, sf_dir):
 
 @query("stream_append_sink")
 def q_stream_append_sink(spark, sf_dir):
-    return files.read_table(spark, _stream_bronze_table(spark, sf_dir, per_trigger=1)).drop(INGESTION_TS)
+    return files.read_table(spark, _stream_bronze_table(spark, sf_dir)).drop(INGESTION_TS)
 
 
 #: Order keys per landed file of ``rate_limit``, where one file makes one micro-batch.
@@ -702,14 +731,53 @@ def q_rate_limit(spark, sf_dir):
     from loanflow.streaming.ingest import stream_bronze
     from loanflow.streaming.progress import ingest_progress
 
+    out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
+    cfg = SourceConfig(fmt="parquet", path=_land_ranges(spark, sf_dir), max_per_trigger=1)
+    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
+    return ingest_progress(files.read_table(spark, out)).select("batch_rows")
+
+
+def _land_ranges(spark, sf_dir) -> str:
+    """Messages landed as one file per range of ``BATCH_KEYS`` order keys."""
     src = scratch_path(spark, "ranges")
     ranged = fx.messages(spark, sf_dir).withColumn(
         "range", F.floor((F.col("offset") * fx.MESSAGE_PARTITIONS + F.col("partition")) / BATCH_KEYS))
     ranged.repartition("range").write.partitionBy("range").parquet(src)
-    out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=f"{src}/*", max_per_trigger=1)
-    _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
-    return ingest_progress(files.read_table(spark, out)).select("batch_rows")
+    return f"{src}/*"
+
+
+@query("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """What the engine reported of each micro-batch while the stream ran, beside the rows that landed."""
+    from loanflow.streaming.ingest import stream_bronze
+    from loanflow.streaming.progress import ProgressLog, ingest_progress, progress_table
+
+    out, ck, log = (scratch_path(spark, n) for n in ("bronze_stream", "bronze_ckpt", "progress"))
+    cfg = SourceConfig(fmt="parquet", path=_land_ranges(spark, sf_dir), max_per_trigger=1)
+    with ProgressLog(spark, log, names={"bronze"}):
+        _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}, name="bronze"))
+    told = progress_table(spark, log).select(
+        F.row_number().over(Window.partitionBy("query_id").orderBy("batch_id")).alias("nth"), "batch_rows", "total_rows",
+        ((F.col("input_rows_per_sec") >= 0) & (F.col("processed_rows_per_sec") > 0) & (F.col("batch_ms") > 0)).alias("timed"))
+    landed = ingest_progress(files.read_table(spark, out)).select(
+        "batch_time", F.col("batch_rows").alias("landed_rows"), F.col("total_rows").alias("landed_total"))
+    landed = landed.withColumn("nth", F.row_number().over(Window.partitionBy().orderBy("batch_time")))  # one row per micro-batch
+    both = told.join(landed, "nth", "full")
+    return both.select("batch_rows", "landed_rows", (F.col("total_rows") == F.col("landed_total")).alias("same_total"), "timed")
+
+
+@query("stream_fan_out")
+def q_stream_fan_out(spark, sf_dir):
+    """One stream of messages into two tables: decoded rows, and the payloads that hold no loan."""
+    from loanflow.sources.messages import read_messages
+    from loanflow.streaming.fan_out import Sink, read_sink, start_fan_out
+
+    src = _land_messages(spark, sf_dir)
+    rows = decode_messages(read_messages(spark, SourceConfig(fmt="parquet", path=src)))
+    good, bad = scratch_path(spark, "loans"), scratch_path(spark, "rejected")
+    sinks = [Sink("loans", good, lambda b: b.where("id IS NOT NULL")), Sink("rejected", bad, lambda b: b.where("id IS NULL"))]
+    _await(start_fan_out(rows, sinks, scratch_path(spark, "fan_ckpt"), trigger={"availableNow": True}))
+    return reduce(DataFrame.unionByName, [read_sink(spark, s.path, rows.schema).drop(INGESTION_TS).withColumn("sink", F.lit(s.name)) for s in sinks])
 
 
 @query("table_stream_scan")
@@ -718,7 +786,7 @@ def q_table_stream_scan(spark, sf_dir):
     files.write_table(bronze(spark, sf_dir), path)
     schema = files.read_table(spark, path).schema
     out, ck = scratch_path(spark, "copy_stream"), scratch_path(spark, "copy_ckpt")
-    src = files.stream_table(spark, path, schema, max_files_per_trigger=1)
+    src = files.stream_table(spark, path, schema)
     _await(files.append_stream(src, out, ck, trigger={"availableNow": True}))
     return no_audit(files.read_table(spark, out))
 
@@ -731,29 +799,25 @@ def q_stream_silver(spark, sf_dir):
     bronze_path = scratch_path(spark, "bronze_stream")
     out, ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
     once = {"availableNow": True}
-    _await(stream_silver(spark, bronze_path, out, ck, trigger=once, max_files_per_trigger=2))
-    cfg = SourceConfig(fmt="parquet", path=_land_messages(spark, sf_dir), max_per_trigger=2)
+    _await(stream_silver(spark, bronze_path, out, ck, trigger=once))
+    cfg = SourceConfig(fmt="parquet", path=_land_messages(spark, sf_dir))
     _await(stream_bronze(spark, cfg, bronze_path, scratch_path(spark, "bronze_ckpt"), trigger=once))
-    _await(stream_silver(spark, bronze_path, out, ck, trigger=once, max_files_per_trigger=2))
+    _await(stream_silver(spark, bronze_path, out, ck, trigger=once))
     return no_audit(files.read_table(spark, out))
 
 
 @query("chained_streams")
 def q_chained_streams(spark, sf_dir):
     """Bronze and Silver streams run at the same time, chained through the Bronze folder."""
-    from loanflow.streaming.ingest import run_streams, stream_bronze, stream_silver
+    from loanflow.streaming.ingest import run_chain, stream_bronze, stream_silver
 
     src = _land_messages(spark, sf_dir)
     b_out, b_ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     s_out, s_ck = scratch_path(spark, "silver_stream"), scratch_path(spark, "silver_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
-    once = {"availableNow": True}
-    bronze_run = lambda: stream_bronze(spark, cfg, b_out, b_ck, trigger=once)
-    silver_run = lambda: stream_silver(spark, b_out, s_out, s_ck, trigger=once, max_files_per_trigger=2)
-    # the first of them to end stops the other; both then resume on their checkpoints and finish
-    run_streams(spark, [bronze_run(), silver_run()])
-    _await(bronze_run())
-    _await(silver_run())
+    cfg = SourceConfig(fmt="parquet", path=src)
+    silver = stream_silver(spark, b_out, s_out, s_ck, trigger={"processingTime": "1 second"})
+    bronze = stream_bronze(spark, cfg, b_out, b_ck, trigger={"availableNow": True})
+    run_chain(spark, bronze, silver, b_out, s_ck)  # Silver ends when it has Bronze's last commit
     return no_audit(files.read_table(spark, s_out))
 
 
@@ -766,7 +830,7 @@ def q_restart_from_checkpoint(spark, sf_dir):
     even = F.col("offset") % 2 == 0
     msgs.where(even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
-    cfg = SourceConfig(fmt="parquet", path=src, max_per_trigger=2)
+    cfg = SourceConfig(fmt="parquet", path=src)
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
     msgs.where(~even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)  # new files arrive
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes

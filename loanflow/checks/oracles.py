@@ -88,10 +88,13 @@ def scored_ctes(body: str) -> str:
 # Spark's CSV reader returns an empty field as NULL (a JSON message keeps ""); Silver is equal either way.
 oracle("csv_scan", f"WITH lb AS ({lb_select()}) SELECT " + ", ".join(
     f"NULLIF({qi(c)}, '') AS {qi(c)}" for c in LOAN_COLUMNS) + " FROM lb")
+oracle("csv_scan_parallel", ORACLES["csv_scan"])
 oracle("table_scan", f"WITH lb AS ({lb_select()}) SELECT *, {BACKFILL_META} FROM lb")
 oracle("backfill_metadata", ORACLES["table_scan"])
 oracle("table_stream_scan", ORACLES["table_scan"])
 oracle("table_overwrite", with_ctes(f"SELECT {cols(gold_columns())} FROM gd"))
+oracle("versioned_overwrite", with_ctes("SELECT 'last' AS version, loan_status, label, loan_amnt FROM gd UNION ALL "
+                                        "SELECT 'before', loan_status, label, NULL FROM gd WHERE label = 1"))
 oracle("optional_scan", with_ctes("SELECT loan_status, loan_amnt, label, c.\"case\" FROM gd, "
                                   "(VALUES ('missing'), ('written'), ('broken')) c(\"case\") WHERE c.\"case\" <> 'written' OR label = 1"))
 oracle("table_ready", with_ctes("SELECT true AS ready, false AS ready_before, COUNT(*) AS n_rows FROM gd"))
@@ -349,6 +352,9 @@ oracle("message_source",
        "FROM orders JOIN customer ON o_custkey = c_custkey")
 oracle("rate_limit", f"SELECT COUNT(*) AS batch_rows FROM orders JOIN customer ON o_custkey = c_custkey "
                      f"GROUP BY floor(o_orderkey / {BATCH_KEYS})")
+oracle("stream_progress", f"SELECT COUNT(*) AS batch_rows, COUNT(*) AS landed_rows, true AS same_total, true AS timed "
+                          f"FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY floor(o_orderkey / {BATCH_KEYS})")
+oracle("stream_fan_out", f"SELECT *, CASE WHEN id IS NULL THEN 'rejected' ELSE 'loans' END AS sink FROM ({slb_select()}) t")
 oracle("stream_silver", stream_ctes("SELECT * FROM ssv"))
 oracle("chained_streams", stream_ctes("SELECT * FROM ssv"))
 oracle("ingest_progress", (

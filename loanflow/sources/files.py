@@ -9,7 +9,7 @@ from __future__ import annotations
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from loanflow.schema import LOAN_SCHEMA
 
@@ -60,21 +60,79 @@ def stage_table(df: DataFrame, name: str = "stage", fmt: str = DEFAULT_FORMAT) -
 
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Create an empty folder, so that a stream can watch it before its writer has started."""
+    fs, folder = _folder(spark, path)
+    fs.mkdirs(folder)
+
+
+def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where it does not exist."""
+    fs, folder = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def touch_once(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a small file; False where it exists already (the file system decides which of two writers is first)."""
+    fs, file = _folder(spark, path)
+    try:
+        out = fs.create(file, False)
+    except Py4JJavaError as e:
+        if fs.exists(file):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file; False where there was none."""
+    fs, folder = _folder(spark, path)
+    return bool(fs.delete(folder, True))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, file = _folder(spark, path)
+    stream = fs.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
+def wave_bytes(spark: SparkSession) -> int:
+    """Input of one full wave of tasks: as many splits of the session's size as the cluster runs tasks at once."""
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return split * max(1, spark.sparkContext.defaultParallelism)
+
+
+def admitted(spark: SparkSession, reader: DataStreamReader, max_files: int | None = None, max_bytes: int | None = None) -> DataStreamReader:
+    """What a micro-batch of a directory stream takes: a number of files where one is given, else files up to a number of bytes.
+
+    Admission by size lets micro-batches follow the data and the cluster, however the files were cut.  A file larger than
+    the bound still makes a batch of its own.
+    """
+    if max_files:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes or wave_bytes(spark))
+
+
 def stream_table(spark: SparkSession, path: str, schema, fmt: str = DEFAULT_FORMAT,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental read of a table as a stream (file streams need the explicit schema)."""
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Incremental read of a table as a stream (file streams need the explicit schema), admitted by size unless files are counted."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    return admitted(spark, reader, max_files_per_trigger, max_bytes_per_trigger).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str = "overwrite") -> None:

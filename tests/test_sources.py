@@ -52,3 +52,59 @@ def test_reconcile_counts(spark):
     assert (r.raw_count, r.bronze_count, r.silver_count, r.consistent) == (5, 5, 4, False)
     r = reconcile_counts(5, a, a).first()  # a count observed during a write stands in for a frame
     assert (r.raw_count, r.bronze_count, r.silver_count, r.consistent) == (5, 5, 5, True)
+
+
+def test_versions_replace_atomically(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from loanflow.sources import versions as v
+
+    path = scratch_path(spark, "versions")
+    with pytest.raises(FileNotFoundError):
+        v.read_version(spark, path)
+    assert v.write_version(spark.range(10), path) == 1
+    with pytest.raises(Exception, match="half-way"):
+        v.write_version(spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("half-way")).cast("long")).alias("id")), path)
+    old = v.read_version(spark, path)
+    assert old.count() == 10
+    assert v.write_version(spark.range(5).withColumn("more", F.lit("x")), path) == 2
+    assert old.count() == 10 and v.read_version(spark, path, 1).count() == 10  # a running reader keeps its version
+    assert v.read_version(spark, path).columns == ["id", "more"]
+    files.touch_once(spark, f"{path}/_versions/{3:012d}")  # a writer that died while it wrote its manifest
+    assert v.read_version(spark, path).count() == 5
+    assert v.write_version(spark.range(3), path) == 4
+    assert not files.touch_once(spark, f"{path}/_versions/{4:012d}", "other\n")
+    assert v.remove_old_versions(spark, path, keep=1) == 3  # two old versions and what the failed write left
+    assert v.read_version(spark, path).count() == 3 and [n for n, _ in v.versions(spark, path)] == [4]
+
+
+def test_rows_of_writes_and_footers(spark):
+    from loanflow.sources.write_metrics import WrittenRows, footer_count, footer_counts
+
+    a, b, c = (scratch_path(spark, n) for n in "abc")
+    with WrittenRows(spark) as w:
+        spark.range(1000).repartition(3).where("id % 2 = 0").write.parquet(a)  # planned by adaptive execution
+        spark.range(7).write.parquet(b)
+        spark.range(0).write.parquet(c)
+        assert (w.rows(a), w.rows(b), w.rows(c), w.rows(a + "x")) == (500, 7, 0, None)
+        spark.range(9).write.mode("overwrite").parquet(b)
+        assert w.rows(b) == 9
+    spark.range(11).write.mode("overwrite").parquet(b)
+    assert w.rows(b) == 9  # closed
+    assert (footer_count(spark, a), footer_count(spark, b), footer_count(spark, c)) == (500, 11, 0)
+    assert "PushedAggregation: [COUNT(*)]" in footer_counts(spark, a)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_backfill_scans_the_csv_once(spark, sf_small):
+    """The reconciliation of a finished backfill reads no file: it is a projection of counts already known."""
+    from loanflow import fixtures as fx
+    from loanflow.plans.backfill import backfill
+
+    csv = scratch_path(spark, "csv")
+    files.write_loans_csv(fx.loan_bronze(spark, sf_small), csv)
+    counts = backfill(spark, csv, scratch_path(spark, "b"), scratch_path(spark, "s"))
+    assert "Scan" not in counts._jdf.queryExecution().executedPlan().toString()
+    files.remove(spark, csv)
+    row = counts.first()
+    assert (row.raw_count, row.bronze_count, row.silver_count, row.consistent) == (1500, 1500, 1500, True)

@@ -76,3 +76,118 @@ def test_minimum_never_lowers_the_decode_tasks(spark, sf_small):
     table = files.read_table(spark, out)
     assert table.count() == 1500 and table.select("kafka_partition", "kafka_offset").distinct().count() == 1500
     assert len(ingest_progress(table).collect()) == 3
+
+
+def test_admission_by_bytes(spark, sf_small):
+    """Micro-batches follow the bytes of the files, not their number; by default one wave of tasks is taken."""
+    import os
+
+    src = land(spark, sf_small, n_files=8)
+    sizes = [os.path.getsize(f"{src}/{f}") for f in os.listdir(src) if f.startswith("part-")]
+    batches = {}
+    for bound in (None, 1, 2 * max(sizes) + 1):
+        cfg = SourceConfig(fmt="parquet", path=src, max_bytes_per_trigger=bound)
+        out, ck = scratch_path(spark, "b"), scratch_path(spark, "bck")
+        q = stream_bronze(spark, cfg, out, ck, ONCE)
+        q.awaitTermination()
+        batches[bound] = len([p for p in q.recentProgress if p["numInputRows"]])
+        assert files.read_table(spark, out).count() == 1500
+    assert batches[None] == 1 and batches[1] == 8 and batches[2 * max(sizes) + 1] in (3, 4)
+    assert files.wave_bytes(spark) == spark.sparkContext.defaultParallelism * 128 * 2**20
+
+
+def test_progress_log(spark, sf_small):
+    from loanflow.streaming.progress import ProgressLog, progress_table
+
+    src = land(spark, sf_small, n_files=6)
+    log = scratch_path(spark, "log")
+    assert progress_table(spark, log).count() == 0
+    out, ck = scratch_path(spark, "b"), scratch_path(spark, "bck")
+    with ProgressLog(spark, log, names={"watched"}, every=2):
+        q = stream_bronze(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2), out, ck, ONCE, name="watched")
+        q.awaitTermination()
+        stream_bronze(spark, SourceConfig(fmt="parquet", path=src), scratch_path(spark, "b"), scratch_path(spark, "bck"), ONCE, name="other").awaitTermination()
+    told = progress_table(spark, log).orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in told] == [0, 1, 2] and {r["name"] for r in told} == {"watched"}
+    assert [r["batch_rows"] for r in told] == [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert told[-1]["total_rows"] == 1500
+    # a replayed batch reports again and counts once
+    spark.read.parquet(log).where("batch_id = 1").write.mode("append").parquet(log)
+    again = progress_table(spark, log).orderBy("batch_id").collect()
+    assert [r["reports"] for r in again] == [1, 2, 1] and again[-1]["total_rows"] == 1500
+    # nothing more is written once the log is closed
+    n = spark.read.parquet(log).count()
+    stream_bronze(spark, SourceConfig(fmt="parquet", path=src), scratch_path(spark, "b"), scratch_path(spark, "bck"), ONCE, name="watched").awaitTermination()
+    assert spark.read.parquet(log).count() == n
+
+
+def test_fan_out_is_exactly_once_across_a_failure(spark, sf_small):
+    """The stream fails between its two sinks in one batch and inside a ledger in another; a restart repeats nothing."""
+    import pytest
+
+    from loanflow.sources.messages import read_messages
+    from loanflow.streaming.fan_out import Sink, committed_batches, read_sink, start_fan_out
+
+    src = land(spark, sf_small, n_files=6)
+    keys = "topic string, partition int, offset long"
+    first, second, ck = scratch_path(spark, "one"), scratch_path(spark, "two"), scratch_path(spark, "ck")
+    sinks = [Sink("one", first, lambda b: b.select("topic", "partition", "offset")),
+             Sink("two", second, lambda b: b.select("topic", "partition", "offset").where("partition = 1"))]
+    wrote = []
+
+    def run(fail_at):
+        def between(sink, batch):
+            wrote.append((sink.name, batch))
+            if (sink.name, batch) == fail_at:
+                raise RuntimeError("lost")
+
+        stream = read_messages(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2))
+        start_fan_out(stream, sinks, ck, ONCE, between=between).awaitTermination()
+
+    assert read_sink(spark, first, keys).count() == 0
+    for fail_at in (("two", 0), ("one", 1)):
+        with pytest.raises(Exception, match="lost"):
+            run(fail_at)
+    # the first sink has batch 0; the second wrote it, but without a marker at first: written again, not read twice
+    assert committed_batches(spark, first) == [0] and committed_batches(spark, second) == [0]
+    run(None)
+    assert wrote.count(("one", 0)) == 1 and wrote.count(("two", 0)) == 2 and wrote.count(("one", 1)) == 2
+    a, b = read_sink(spark, first, keys), read_sink(spark, second, keys)
+    assert a.count() == a.distinct().count() == 1500
+    assert b.count() == b.distinct().count() == a.where("partition = 1").count()
+    run(None)  # nothing new
+    assert read_sink(spark, first, keys).count() == 1500
+
+
+def test_chain_hands_over_every_commit(spark, sf_small):
+    from loanflow.streaming.ingest import run_chain, unconsumed_files
+
+    src = land(spark, sf_small, n_files=6)
+    b_out, b_ck, s_out, s_ck = (scratch_path(spark, n) for n in ("b", "bck", "s", "sck"))
+    assert unconsumed_files(spark, b_out, s_ck) == 0
+    silver = stream_silver(spark, b_out, s_out, s_ck, trigger={"processingTime": "1 second"}, max_files_per_trigger=1)
+    bronze = stream_bronze(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2), b_out, b_ck, ONCE)
+    run_chain(spark, bronze, silver, b_out, s_ck)
+    assert not silver.isActive and not bronze.isActive
+    assert unconsumed_files(spark, b_out, s_ck) == 0
+    assert files.read_table(spark, s_out).count() == 1500
+    # more Bronze that no Silver has read is seen as such
+    spark.read.parquet(src).limit(5).write.mode("append").parquet(src)
+    stream_bronze(spark, SourceConfig(fmt="parquet", path=src), b_out, b_ck, ONCE).awaitTermination()
+    assert unconsumed_files(spark, b_out, s_ck) >= 1
+
+
+def test_chain_raises_what_stops_it(spark, sf_small):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from loanflow.streaming.ingest import run_chain
+
+    src = land(spark, sf_small, n_files=2)
+    b_out, b_ck, s_out, s_ck = (scratch_path(spark, n) for n in ("b", "bck", "s", "sck"))
+    silver = stream_silver(spark, b_out, s_out, s_ck, trigger={"processingTime": "1 second"})
+    broken = files.stream_table(spark, src, spark.read.parquet(src).schema).select(F.raise_error(F.lit("no more")).cast("int").alias("x"))
+    bronze = files.append_stream(broken, b_out, b_ck, trigger=ONCE)
+    with pytest.raises(RuntimeError, match="no more"):
+        run_chain(spark, bronze, silver, b_out, s_ck)
+    assert not silver.isActive and not bronze.isActive
