@@ -80,12 +80,11 @@ def footer_counts(spark: SparkSession, path: str) -> DataFrame:
     own = spark.newSession()
     own.conf.set("spark.sql.sources.useV1SourceList", "")
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    # (a scan without any footer answers null)
-    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
 
 
 def footer_count(spark: SparkSession, path: str) -> int:
     """Rows of a parquet table, from its files' footers; 0 for a folder without files."""
-    return footer_counts(spark, path).first()["n"]
+    return footer_counts(spark, path).first()["n"] or 0  # a scan without any footer answers null
 
 
