@@ -366,22 +366,33 @@ class _Forest:
         return i != j
 
 
-def _overlaps(sets: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
-    """Sizes of all intersections of a block of sets: products of the table (set, shingle), ``columns`` shingles at a time.  Shingles of one set only are left out."""
+def _overlaps(sets: list[np.ndarray], columns: int = 1 << 14, at_once: int = 1 << 19) -> np.ndarray:
+    """Sizes of all intersections of a block of sorted sets, by slices of the hash values of about ``at_once`` shingles each."""
+    n_slices = max(1, -(-sum(map(len, sets)) // at_once))
+    edges = np.array([(i << 64) // n_slices for i in range(1, n_slices)], _U)
+    cuts = [np.r_[0, np.searchsorted(s, edges), len(s)] for s in sets]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for k in range(n_slices):
+        out += _slice_overlaps([s[c[k]:c[k + 1]] for s, c in zip(sets, cuts, strict=True)], columns)
+    return np.rint(out).astype(np.int64)
+
+
+def _slice_overlaps(sets: list[np.ndarray], columns: int) -> np.ndarray:
+    """Products of the table (set, shingle), ``columns`` shingles at a time.  Shingles of one set only are left out."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
     _, shingle, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner, shingle = owner[count[shingle] > 1], shingle[count[shingle] > 1]
     order = np.argsort(shingle, kind="stable")
     owner, shingle = owner[order], shingle[order]
-    column = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]])
+    column = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]]) if len(shingle) else shingle
     out = np.zeros((n, n), np.float64)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
         a, b = np.searchsorted(column, (at, at + columns))
         part = np.zeros((n, min(columns, int(column[-1]) + 1 - at)), np.float32)
         part[owner[a:b], column[a:b] - at] = 1
         out += part @ part.T
-    return np.rint(out).astype(np.int64)
+    return out
 
 
 class _Joiner:
