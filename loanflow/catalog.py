@@ -514,6 +514,17 @@ def q_string_index(spark, sf_dir):
     return indexed.select(F.inline(pairs)).distinct()
 
 
+@query("string_index_table")
+def q_string_index_table(spark, sf_dir):
+    """The indexes of ``string_index`` from ranked label tables, joined to the rows."""
+    f = staged_features(spark, sf_dir)
+    cats = existing(f, CATEGORICAL_FEATURES)
+    indexed = encode.index_by_table(f, cats, encode.label_ranks(f, cats))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                               F.col(f"{c}_idx").alias("idx")) for c in cats])
+    return indexed.select(F.inline(pairs)).distinct()
+
+
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
     f = staged_features(spark, sf_dir)

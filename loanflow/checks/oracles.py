@@ -274,6 +274,7 @@ _IDX = " UNION ALL ".join(
     f"COUNT(*) OVER () AS n_labels FROM (SELECT {qi(c)} AS value, COUNT(*) AS n FROM ft GROUP BY {qi(c)})"
     for c in CATEGORICAL_FEATURES)
 oracle("string_index", gold_ctes(f"SELECT column_name, value, idx FROM ({_IDX})"))
+oracle("string_index_table", ORACLES["string_index"])
 oracle("one_hot", gold_ctes(
     f"SELECT column_name, value, CAST(n_labels AS INTEGER) AS size, CAST(idx AS BIGINT) AS active FROM ({_IDX})"))
 oracle("assemble_numeric", gold_ctes(" UNION ALL ".join(

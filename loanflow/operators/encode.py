@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanflow.schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, WEIGHT, existing
 from loanflow.operators.split import SPLIT
+from loanflow.sources.files import stage_table
 
 
 def indexer(cols) -> StringIndexer:
@@ -31,6 +32,41 @@ def index_categories(df: DataFrame, cols) -> DataFrame:
     return fit_index(df, cols).transform(df)
 
 
+def label_ranks(df: DataFrame, cols) -> DataFrame:
+    """Stored (column_name, value, n, idx): the labels of every column, ranked by frequency (ties alphabetical), as a table.
+
+    The same indexes as ``fit_index`` (text is ordered by its bytes), but the labels never visit the driver.  All
+    columns are counted in one scan.  The counted labels are dealt by range of (column, frequency, label), so each task
+    holds a bounded run of the order however many labels share a frequency; a label's index is its place in its
+    task plus the column's labels in the tasks before, from a table of one row per task and column.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = df.select(F.inline(pairs)).where("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # stored with its task number: a rerun could draw the borders anew
+    dealt = stage_table(counts.repartitionByRange("column_name", F.desc("n"), "value").withColumn("task", F.spark_partition_id()), "label-counts")
+    before = Window.partitionBy("column_name").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy("column_name", "task").agg(F.count(F.lit(1)).alias("labels"))
+    offsets = offsets.select("column_name", "task", F.coalesce(F.sum("labels").over(before), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("column_name", "task").orderBy(F.desc("n"), "value"))
+    ranked = dealt.withColumn("place", place).join(offsets, ["column_name", "task"])
+    return stage_table(ranked.select("column_name", "value", "n", (F.col("first") + F.col("place") - 1).cast("double").alias("idx")), "label-ranks")
+
+
+def index_by_table(df: DataFrame, cols, ranks: DataFrame) -> DataFrame:
+    """Add ``<c>_idx`` from a table of ``label_ranks``; NULL and unseen labels get the number of labels, as ``index_categories`` gives them.
+
+    One join per column on the label.  Spark broadcasts a small column's labels by their size; a large one is shuffled, and
+    adaptive execution splits a hot label.
+    """
+    sizes = {r["column_name"]: r["size"] for r in ranks.groupBy("column_name").agg(F.count(F.lit(1)).alias("size")).collect()}
+    out = df
+    for c in cols:
+        labels = ranks.where(F.col("column_name") == c).select(F.col("value").alias(f"_{c}_label"), F.col("idx").alias(f"_{c}_found"))
+        out = out.join(labels, F.col(c).cast("string") == F.col(f"_{c}_label"), "left")
+        out = out.withColumn(f"{c}_idx", F.coalesce(f"_{c}_found", F.lit(float(sizes.get(c, 0))))).drop(f"_{c}_label", f"_{c}_found")
+    return out
+
+
 def encoder(cols) -> OneHotEncoder:
     """Index -> sparse one-hot of size n_labels (the 'keep' slot is dropped: unseen = all zeros)."""
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols])
