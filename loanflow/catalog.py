@@ -469,6 +469,28 @@ def q_stratified_sample(spark, sf_dir):
     return _sample_report(f, sample, [LABEL], 0.8)
 
 
+@query("stratified_sample_rows")
+def q_stratified_sample_rows(spark, sf_dir):
+    """The sampled rows themselves: about four fifths of each label."""
+    return split.stratified_sample(staged_features(spark, sf_dir), LABEL, {0: 0.8, 1: 0.8}, 42)
+
+
+@query("split_parity_rows")
+def q_split_parity_rows(spark, sf_dir):
+    """Train and test of the reference order, row by row, with their feature vectors as arrays."""
+    from loanflow.plans.ml_ready import gold_to_ml_ready
+
+    train, test, _ = gold_to_ml_ready(gold(spark, sf_dir, keep=["id"]), key="id", parity=True)
+    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+            .select("split", LABEL, WEIGHT, encode.as_array("features").alias("features")))
+
+
+@query("uniform_sample_rows")
+def q_uniform_sample_rows(spark, sf_dir):
+    """The sampled rows themselves: about a fifth of the preview columns' rows."""
+    return split.uniform_sample(files.stage_table(gold(spark, sf_dir).select(*PREVIEW_COLUMNS), "preview"), 0.2, 42)
+
+
 @query("split_parity")
 def q_split_parity(spark, sf_dir):
     """The reference order on feature vectors: fit on all rows, Bernoulli train, test = all EXCEPT DISTINCT train."""
@@ -615,6 +637,8 @@ for _name, _key in [("LogisticRegression", "train_logistic_regression"), ("Linea
                     ("DecisionTree", "train_decision_tree"), ("RandomForest", "train_random_forest"),
                     ("GBTClassifier", "train_gbt")]:
     query(_key)(lambda spark, sf_dir, name=_name: _checked(trained(spark, sf_dir, name)))
+    # accuracy, precision, recall, F1, AUC and the matrix, as the run gives them
+    query(_key.replace("train_", "metrics_"))(lambda spark, sf_dir, name=_name: trained(spark, sf_dir, name))
 
 
 @query("train_and_evaluate")
@@ -633,6 +657,22 @@ def q_train_and_evaluate(spark, sf_dir):
                     "importance_sum", "n_slots"))
 
 
+@query("scored_rows")
+def q_scored_rows(spark, sf_dir):
+    """Every test row with its label, scores and prediction from one trained model."""
+    train, test, _ = _train_test(spark, sf_dir)
+    return train_and_evaluate(make_classifier("LogisticRegression"), "LogisticRegression", train, test)[1]
+
+
+@query("probability_scores")
+def q_probability_scores(spark, sf_dir):
+    """The probability of label 1 for every test row."""
+    ready, _ = encode.featurize(weighted_split(spark, sf_dir), fit_on="train", keep=("id", LABEL, WEIGHT))
+    ready = files.stage_table(ready, "ready")
+    pred = make_classifier("LogisticRegression").fit(ready.where(F.col("split") == "train")).transform(ready.where(F.col("split") == "test"))
+    return pred.select("id", LABEL, evaluate.positive_score(pred, "probability").alias("score"), "prediction")
+
+
 @query("probability_score")
 def q_probability_score(spark, sf_dir):
     ready, _ = encode.featurize(weighted_split(spark, sf_dir), fit_on="train", keep=("id", LABEL, WEIGHT))
@@ -646,6 +686,13 @@ def q_probability_score(spark, sf_dir):
                        (F.abs(p - 1 / (1 + F.exp(-raw))) < 1e-9).alias("is_logistic"))
 
 
+@query("feature_importances")
+def q_feature_importances(spark, sf_dir):
+    """The fifteen most important features of a decision tree, by name."""
+    train, _, _ = _train_test(spark, sf_dir)
+    return top_importances(make_classifier("DecisionTree").fit(train), train, 15)
+
+
 @query("feature_importance_topk")
 def q_feature_importance_topk(spark, sf_dir):
     train, test, _ = _train_test(spark, sf_dir)
@@ -686,6 +733,8 @@ LANDED_MESSAGES = 20_000
 
 
 def _land_messages(spark, sf_dir, where=None) -> str:
+    if where is None and fx.landed_messages(sf_dir):
+        return fx.landed_messages(sf_dir)
     path = scratch_path(spark, "messages")
     msgs = fx.messages(spark, sf_dir)
     if where is not None:
@@ -924,6 +973,15 @@ def q_gold_to_ml_ready(spark, sf_dir):
                        _slot_sum().alias("slot_sum"))
 
 
+@query("leaderboard_all")
+def q_leaderboard_all(spark, sf_dir):
+    """The five models' metrics, ranked, with the best one and the best tree model marked."""
+    from loanflow.plans.training import train_all
+
+    train, test, _ = _train_test(spark, sf_dir)
+    return train_all(train, test)[0].withColumnRenamed("model", "model_name")
+
+
 @query("train_all")
 def q_train_all(spark, sf_dir):
     from loanflow.plans.training import train_all

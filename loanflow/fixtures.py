@@ -3,9 +3,10 @@
 The reference ships no data, so every query runs on rows derived from
 ``orders`` (+ ``customer``) and ``events``.  All projections are row-local
 except the ``orders``-``customer`` equi-join.  ``customer`` grows with
-``orders``, so neither side has a size bound and the join is a shuffle join
-(adaptive execution splits a hot customer); only the seven joined columns move,
-and the wide rows are built after it.  The expressions are the same text as
+``orders``, so neither side has a size bound and the size decides how they are joined
+(where it is a shuffle, adaptive execution splits a hot customer); only the seven joined columns move,
+and the wide rows are built after it.  ``land`` writes the rows and the messages once, for timing what
+reads them.  The expressions are the same text as
 the DuckDB fixtures, so both engines build identical raw rows.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanflow.schema import DATE_COLUMNS, LOAN_COLUMNS, NUMERIC_COLUMNS, PERCENT_COLUMNS
+from loanflow.schema import DATE_COLUMNS, LOAN_COLUMNS, LOAN_SCHEMA, MESSAGE_SCHEMA, NUMERIC_COLUMNS, PERCENT_COLUMNS
 from loanflow.sources.messages import to_messages
 
 # FIXED VALUES: the fixture text (loan-shaped rows from orders + customer).
@@ -98,18 +99,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _loan_rows(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
-    joined = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey)
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     exprs = [f"{LOAN_BRONZE_EXPRS[c].replace('{MMM}', MONTH_TEXT)} AS `{c}`" for c in LOAN_COLUMNS]
     return joined.selectExpr(*exprs, *extra)
 
 
+#: Folders of landed fixtures: sf_dir -> (loan rows, messages).
+_LANDED: dict[str, tuple[str, str]] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, tasks: int) -> None:
+    """Write the loan rows and messages of ``sf_dir`` as tables of ``tasks`` files; from now on this process reads those."""
+    from loanflow.session import scratch_path
+
+    rows, msgs = scratch_path(spark, "landed-loans"), scratch_path(spark, "landed-messages")
+    loan_bronze(spark, sf_dir).repartition(tasks).write.parquet(rows)
+    messages(spark, sf_dir).repartition(tasks).write.parquet(msgs)
+    _LANDED[sf_dir.rstrip("/")] = (rows, msgs)
+
+
+def landed_messages(sf_dir: str) -> str | None:
+    """The folder of landed messages, where ``land`` wrote them."""
+    landed = _LANDED.get(sf_dir.rstrip("/"))
+    return landed[1] if landed else None
+
+
 def loan_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw all-string loan rows (151 columns, each with well-formed, blank and malformed values)."""
-    return _loan_rows(spark, sf_dir)
+    landed = _LANDED.get(sf_dir.rstrip("/"))
+    return spark.read.schema(LOAN_SCHEMA).parquet(landed[0]) if landed else _loan_rows(spark, sf_dir)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message-shaped rows (Kafka layout) carrying ``loan_bronze`` as JSON, with planted bad payloads."""
+    landed = _LANDED.get(sf_dir.rstrip("/"))
+    if landed:
+        return spark.read.schema(MESSAGE_SCHEMA).parquet(landed[1])
     raw = _loan_rows(spark, sf_dir, extra=["CAST(o_orderdate AS TIMESTAMP) AS _ts"])
     msg = to_messages(raw, MESSAGE_TOPIC, keep=["id", "_ts"])
     k = F.col("id").cast("long")

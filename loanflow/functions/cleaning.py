@@ -61,12 +61,15 @@ def parse_month_date(df: DataFrame, columns=DATE_COLUMNS, fmt: str = DATE_FORMAT
     return project(df, {c: f"try_to_date({ident(c)}, {sql_text(fmt)})" for c in existing(df, columns)})
 
 
+#: SQL form of a text column by its kind.  Blank text is NULL in every kind: the tolerant casts give that by themselves.
+_FORMS = {
+    **dict.fromkeys(PERCENT_COLUMNS, "try_cast(replace({0}, '%', '') AS DOUBLE)"),
+    **dict.fromkeys(NUMERIC_COLUMNS, "try_cast({0} AS DOUBLE)"),
+    **dict.fromkeys(DATE_COLUMNS, f"try_to_date({{0}}, {sql_text(DATE_FORMAT)})"),
+}
+
+
 def typed_columns(df: DataFrame) -> DataFrame:
     """All text columns to their Silver types in one projection: blank text is NULL in every kind, the rest follows the column's kind."""
-    forms = {
-        **dict.fromkeys(PERCENT_COLUMNS, "try_cast(replace({0}, '%', '') AS DOUBLE)"),
-        **dict.fromkeys(NUMERIC_COLUMNS, "try_cast({0} AS DOUBLE)"),
-        **dict.fromkeys(DATE_COLUMNS, f"try_to_date({{0}}, {sql_text(DATE_FORMAT)})"),
-    }
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return project(df, {c: forms.get(c, "{0}").format(f"CASE WHEN trim({ident(c)}) = '' THEN NULL ELSE {ident(c)} END") for c in text})
+    return project(df, {c: _FORMS.get(c, "CASE WHEN trim({0}) = '' THEN NULL ELSE {0} END").format(ident(c)) for c in text})
