@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanflow.llm.spans import sums_before
+
 PART = 64
 #: Escape of each character that control strings need; the backslash comes first.
 ESCAPES = (("\\", "\\\\"), ("#", "\\h"), ("<", "\\l"), (":", "\\c"))
@@ -51,17 +53,14 @@ def fold_events(events: DataFrame) -> DataFrame:
     e = F.struct(F.col("seq"), F.coalesce("role", F.lit("")).alias("role"),
                  F.coalesce("text", F.lit("")).alias("text"), F.coalesce("kind", F.lit("message")).alias("kind"))
     log = events.groupBy("conv_id", "message").agg(F.array_sort(F.collect_list(e)).alias("log"))
-    start = F.struct(F.lit("").alias("role"), F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone"))
-
-    def step(acc: Column, x: Column) -> Column:
-        delta, gone = x["kind"] == "delta", x["kind"] == "delete"
-        return F.struct(
-            F.when(x["role"] != "", x["role"]).otherwise(acc["role"]).alias("role"),
-            F.when(delta, F.concat(acc["parts"], F.array(x["text"]))).when(gone, F.array().cast("array<string>")).otherwise(F.array(x["text"])).alias("parts"),
-            gone.alias("gone"))
-    last = F.aggregate("log", start, step)
-    return (log.select("conv_id", "message", F.col("log")[0]["seq"].alias("seq"), last.alias("m"))
-            .where("not m.gone").select("conv_id", "message", "seq", F.col("m.role").alias("role"), F.array_join("m.parts", "").alias("text")))
+    # what counts is the last event that sets the text, and the deltas after it: found by its place, joined once
+    last = F.array_max(F.transform("log", lambda x, i: F.when(x["kind"] != "delta", i + 1).otherwise(1)))
+    log = log.withColumn("kept", F.slice("log", last, F.size("log")))
+    named = F.filter("log", lambda x: x["role"] != "")
+    texts = F.transform("kept", lambda x: F.when(x["kind"] == "delete", "").otherwise(x["text"]))
+    return (log.where(F.element_at("log", -1)["kind"] != "delete").select(
+        "conv_id", "message", F.col("log")[0]["seq"].alias("seq"),
+        F.when(F.size(named) > 0, F.get(named, F.size(named) - 1)["role"]).otherwise("").alias("role"), F.array_join(texts, "").alias("text")))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -77,14 +76,12 @@ def render(messages: DataFrame) -> DataFrame:
         head(t).alias("head"), escape(t["text"]).alias("body"), (F.lower(t["role"]) == LOSS_ROLE).alias("loss")))
     end = f" {TURN_END}\n"
     parts = turn.select("conv_id", "part", F.size("turns").cast("long").alias("n_turns"), rendered.alias("r"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("mask"))
-    walk = F.aggregate("r", zero, lambda acc, t: F.struct(
-        (acc["at"] + F.length(t["head"]) + F.length(t["body"]) + len(end)).alias("at"),
-        F.when(t["loss"], F.concat(acc["mask"], F.array(F.struct(
-            (acc["at"] + F.length(t["head"])).alias("start"), F.length(t["body"]).alias("length"))))).otherwise(acc["mask"]).alias("mask")))
+    before = sums_before(F.transform("r", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(end)))
+    mask = F.zip_with("r", before, lambda t, at: F.when(t["loss"], F.struct(
+        (at + F.length(t["head"])).cast("int").alias("start"), F.length(t["body"]).alias("length"))))
     return parts.select("conv_id", "part", "n_turns",
                         F.array_join(F.transform("r", lambda t: F.concat(t["head"], t["body"], F.lit(end))), "").alias("formatted"),
-                        walk["mask"].alias("loss_mask"))
+                        F.array_compact(mask).alias("loss_mask"))
 
 
 def read_back(parts: DataFrame) -> DataFrame:

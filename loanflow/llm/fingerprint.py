@@ -49,9 +49,10 @@ def _add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(POWER)))
 
 
-def _sum(vectors: Column, width: int) -> Column:
+def _sum(units: Column, vector, width: int) -> Column:
+    """The sum of the units' vectors; one vector at a time is held."""
     zero = F.array_repeat(F.lit(0).cast("long"), width)
-    return F.aggregate(vectors, zero, _add)
+    return F.aggregate(units, zero, lambda acc, u: _add(acc, vector(u)))
 
 
 def _phrase_vector(phrase: Column) -> Column:
@@ -70,8 +71,8 @@ def fingerprint(text: Column) -> Column:
     paragraphs = F.filter(F.split(text, "\n"), lambda p: p != "")
     # one character a byte, so that the cuts work in every script
     phrases = F.regexp_extract_all(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), F.lit(UNIT), F.lit(0))
-    equal = _sum(F.transform(paragraphs, _paragraph_vector), EQUAL)
-    like = _sum(F.transform(phrases, _phrase_vector), LIKE + 1)
+    equal = _sum(paragraphs, _paragraph_vector, EQUAL)
+    like = _sum(phrases, _phrase_vector, LIKE + 1)
     return F.concat(equal, like)
 
 
