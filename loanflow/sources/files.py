@@ -7,7 +7,7 @@ installed - the calls are the same.
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
@@ -167,10 +167,10 @@ def read_or_else(spark: SparkSession, path: str, other: DataFrame, fmt: str = DE
 
 
 def table_ready(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """A table exists at ``path`` and holds at least one row (reads one row, not a full count)."""
+    """A table exists at ``path``, can be read and holds at least one row (reads one row, not a full count)."""
     try:
         return len(read_table(spark, path, fmt).limit(1).take(1)) > 0
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return False
 
 
