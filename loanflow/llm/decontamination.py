@@ -13,7 +13,8 @@ sides (proximity match); 0 is the exact phrase.
 Scale.  Words are exploded row by row and joined with the benchmark's vocabulary (broadcast by Spark where its
 size allows); the index is written where the rows are, without a shuffle.  The lists of a frequent term are
 ordinary rows, keyed by text and place in every join after the first, so no list is gathered in one task; the first
-join is by term, against one row per phrase led by that term, and adaptive execution splits a frequent one.  Texts of more
+join is by term and one of ``SALTS`` shares of its texts, against one row per share and phrase led by that term, so a term that
+holds a third of all rows is dealt to many tasks (and adaptive execution splits further).  Texts of more
 than ``PART`` characters are cut between words, so that no array holds more words than such a part has.
 
 Defined cases.  A null text and a text without words: no words, nothing hit.  A null or wordless item: no phrase.
@@ -32,6 +33,8 @@ from loanflow.llm.common import id_and_text, staged
 
 #: Consecutive words of one phrase.
 WINDOW = 10
+#: Shares that a term's list is dealt to in joins by term.
+SALTS = 16
 #: Characters of a text that are cut into words at once.
 PART = 1 << 20
 
@@ -110,6 +113,14 @@ def ranked_terms(index: DataFrame, phrases: DataFrame) -> DataFrame:
     return staged(counted.select("phrase_id", (F.row_number().over(order) - 1).alias("rank"), "term", "offset", "n_terms"), "terms")
 
 
+def _shares(index: DataFrame) -> DataFrame:
+    return index.withColumn("share", F.pmod("text_hash", F.lit(SALTS)))
+
+
+def _for_each_share(terms: DataFrame) -> DataFrame:
+    return terms.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+
+
 def _places(candidates: DataFrame, terms: DataFrame, slop: int) -> DataFrame:
     """The candidates times the given terms and the places where each may stand."""
     at = F.col("start") + F.col("offset")
@@ -127,7 +138,7 @@ def find(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
     """
     terms = ranked_terms(index, phrases)
     lead = terms.where("rank = 0").select("phrase_id", "term", "offset", "n_terms")
-    found = index.join(lead, "term").select(*KEY, "phrase_id", (F.col("pos") - F.col("offset")).alias("start"), "n_terms")
+    found = _shares(index).join(_for_each_share(lead), ["term", "share"]).select(*KEY, "phrase_id", (F.col("pos") - F.col("offset")).alias("start"), "n_terms")
     if slop == 0:
         found = found.where("start >= 0")
     found = found.distinct()
@@ -135,7 +146,7 @@ def find(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
     cand = [*KEY, "phrase_id", "start", "n_terms"]
 
     second = terms.where("rank = 1")
-    lists = index.join(second.select("term").distinct(), "term", "left_semi")
+    lists = _shares(index).join(_for_each_share(second.select("term").distinct()), ["term", "share"], "left_semi")
     two = _places(found.where("n_terms > 1"), second, slop).join(lists.hint("merge"), here, "left_semi").select(*cand)
     left = staged(found.where("n_terms = 1").unionByName(two.distinct()), "candidates")
 
