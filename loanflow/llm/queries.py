@@ -222,6 +222,29 @@ FROM kept JOIN coded USING (r)
 ORACLES["op13_vector_codes"] = _codes_sql()
 
 
+ORACLES["op4_ngram_jaccard_join"] = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sets AS MATERIALIZED (
+  SELECT r, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS name FROM shingles GROUP BY r
+), classes AS MATERIALIZED (SELECT name, min(r) AS c, any_value(n) AS n, min(doc_id) AS least FROM sets JOIN docs USING (r) GROUP BY name
+), own AS MATERIALIZED (SELECT c, n, shingle FROM classes JOIN shingles ON r = c
+), links AS MATERIALIZED (
+  SELECT a.c AS a, b.c AS b FROM own a JOIN own b ON a.shingle = b.shingle AND a.c < b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(c, d) AS (
+  SELECT c, c FROM classes UNION SELECT reach.c, edges.b FROM reach JOIN edges ON edges.a = reach.d
+), roots AS (SELECT reach.c, min(least) AS root FROM reach JOIN classes ON classes.c = reach.d GROUP BY reach.c)
+SELECT doc_id, coalesce(sets.n, 0) AS n_shingles, CASE WHEN sets.r IS NULL THEN doc_id ELSE root END AS component_id
+FROM docs LEFT JOIN sets USING (r) LEFT JOIN classes USING (name) LEFT JOIN roots USING (c)
+"""
+
+
 ORACLES["op1_chat_formatting"] = f"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
