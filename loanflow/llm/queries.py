@@ -84,9 +84,9 @@ def op2(spark, sf_dir):
 
 @query("op3_license_scan")
 def op3(spark, sf_dir):
-    from loanflow.llm.licenses import NOTICES, scan_licenses
+    from loanflow.llm.licenses import TEMPLATES, scan_licenses
 
-    return scan_licenses(table(spark, sf_dir, "documents"), NOTICES)
+    return scan_licenses(table(spark, sf_dir, "documents"), TEMPLATES)
 
 
 #: The byte-level BPE vocabulary of op5, and the one string that it treats as a special token.
