@@ -160,7 +160,9 @@ def find_hits(docs: DataFrame, tpl: Templates, id_col: str = "doc_id", text_col:
     docs = docs.select("doc_id", F.monotonically_increasing_id().alias("row_key"), "words", shingle_hashes(F.col("word_hashes")).alias("hashes"))
     docs = docs.where(F.exists("hashes", lambda x: x.isin(tpl.known)))
     places = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: F.get(F.col("hashes"), i).isin(tpl.known))
-    at = F.transform(places, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(F.col("words"), i + 1, F.lit(SHINGLE)), " ").alias("shingle")))
+    # single elements are read in place; a slice inside a lambda would copy the whole array for each hit
+    run = lambda i: F.concat_ws(" ", *[F.get(F.col("words"), i + k) for k in range(SHINGLE)])
+    at = F.transform(places, lambda i: F.struct(i.alias("pos"), run(i).alias("shingle")))
     hits = docs.select("row_key", "doc_id", F.inline(at)).join(tpl.shingles, "shingle")
     return staged(hits.select("row_key", "doc_id", "pos", "id", "sizes", "wholes"), "license_hits")
 
