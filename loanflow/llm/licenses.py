@@ -168,21 +168,28 @@ def find_hits(docs: DataFrame, tpl: Templates, id_col: str = "doc_id", text_col:
 
 
 def windows(hits: DataFrame) -> DataFrame:
-    """(row_key, n, first_word, doc_id, ids): windows of the sizes of sections, with the hits of sections of that size."""
+    """Stored (row_key, n, first_word, doc_id, seen): windows of the sizes of sections, with the hits of sections of that size."""
     sized = hits.select("row_key", "doc_id", "pos", "id", F.inline("sizes"))
     first = F.greatest(F.lit(0), F.floor((F.col("pos") - F.col("window") + F.col("step")) / F.col("step")).cast("int"))
     last = F.floor(F.col("pos") / F.col("step")).cast("int")
     sized = sized.select("row_key", "doc_id", "id", "n", "need", "step", F.explode(F.sequence(first, last)).alias("k"))
     sets = sized.groupBy("row_key", "n", (F.col("k") * F.col("step")).alias("first_word")).agg(
-        F.first("doc_id").alias("doc_id"), F.first("need").alias("need"), F.collect_set("id").alias("ids"))
-    return sets.where(F.size("ids") >= F.col("need")).drop("need")
+        F.first("doc_id").alias("doc_id"), F.first("need").alias("need"), F.array_sort(F.collect_set("id")).alias("seen"))
+    return staged(sets.where(F.size("seen") >= F.col("need")).drop("need"), "license_windows")
 
 
 def retrieve(win: DataFrame, tpl: Templates) -> DataFrame:
-    """(row_key, doc_id, first_word, section, ids): windows and the sections of their size that share a band with them."""
+    """Windows with the sections of their size that share a band with them and that they hold to ``CONTAINMENT``.
+
+    Equal sets are banded and verified once, however many windows have them (a notice may stand in a third of all rows);
+    the sets that hold a section go back to their windows in a join that adaptive execution splits.
+    """
     own = tpl.sections.select("n", "section", F.explode(signature(F.col("ids"))).alias("band"))
-    near = win.withColumn("band", F.explode(signature(F.col("ids")))).join(own, ["n", "band"])
-    return near.groupBy("row_key", "n", "first_word", "section").agg(F.first("doc_id").alias("doc_id"), F.first("ids").alias("ids"))
+    sets = win.select("n", "seen").distinct().withColumn("band", F.explode(signature(F.col("seen"))))
+    near = sets.join(own, ["n", "band"]).select("n", "seen", "section").distinct().join(tpl.sections.drop("n"), "section")
+    share = F.size(F.array_intersect("seen", "ids")) / F.size("ids")
+    held = near.withColumn("containment", share).drop("ids").where(F.col("containment") >= CONTAINMENT)
+    return win.join(staged(held, "license_sets"), ["n", "seen"])
 
 
 def count_wholes(anchors: DataFrame, hits: DataFrame, tpl: Templates) -> DataFrame:
@@ -206,9 +213,7 @@ def scan_licenses(docs: DataFrame, notices=TEMPLATES, id_col: str = "doc_id", te
     """One row per input row and template found in it: doc_id, license, template, containment (of its best window), first_word (of that window)."""
     tpl = templates(docs.sparkSession, notices)
     hits = find_hits(docs, tpl, id_col, text_col)
-    near = retrieve(windows(hits), tpl).withColumnRenamed("ids", "seen").join(tpl.sections.drop("n"), "section")
-    share = F.size(F.array_intersect("seen", "ids")) / F.size("ids")
-    near = near.withColumn("containment", share).where(F.col("containment") >= CONTAINMENT)
+    near = retrieve(windows(hits), tpl)
     columns = ["row_key", "doc_id", "template", "license", "first_word", "containment"]
     found = near.where(~F.col("long")).select(*columns)
     if tpl.any_long:
