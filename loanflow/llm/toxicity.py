@@ -2,7 +2,8 @@
 
 Learning, from a bounded sample of labelled rows (``LABELLED_ROWS``, those with the smallest hashes of their ids):
 words and word beginnings that many different toxic texts have and hardly any clean one
-become the lexicon.  Texts count by the MinHash of their three-word shingles, so a group of copies counts about once.
+become the lexicon, all of them: a term stands in ``LEAST_SHARE`` of the sample's toxic texts or more, so there are at most
+their mean number of different words and beginnings, divided by that share.  Texts count by the MinHash of their three-word shingles, so a group of copies counts about once.
 
 Scoring: each word of a text runs through the lexicon automaton, the product of the terms' trie with a
 Levenshtein automaton (one insertion, deletion or substitution for terms long enough), built state by
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from loanflow.llm.common import id_and_text, sliced, staged
 
 LABELLED_ROWS = 20_000
-LEXICON_TERMS = 2_000
 STEM = (4, 8)
 LEAST_TEXTS = 8
 LEAST_SHARE = 0.005
@@ -237,7 +237,7 @@ def choose_terms(frequent: list[tuple[str, str, int, int]]) -> dict[str, str]:
         if stem is None or (t >= 0.9 * stems[stem] and w.startswith(stem)):
             terms.pop(stem, None)
             terms[w] = ("word", t)
-    ranked = sorted(terms.items(), key=lambda x: (-x[1][1], x[0]))[:LEXICON_TERMS]
+    ranked = sorted(terms.items(), key=lambda x: (-x[1][1], x[0]))
     return {term: kind for term, (kind, _) in ranked}
 
 

@@ -413,3 +413,8 @@ def test_pipeline_stages_on_table(spark):
     masked = corpus_pipeline.mask_personal_data(spark, one, sf)
     for r in masked.collect():
         assert pii.all_spans(r["text"])[0] == [] and r["n_chars"] == len(r["text"])
+
+
+def test_lexicon_keeps_every_frequent_term():
+    words = [("word", f"{k:05d}".translate(str.maketrans("0123456789", "abcdefghij")), 10 + k % 7, 0) for k in range(5000)]
+    assert set(toxicity.choose_terms(words)) == {w for _, w, _, _ in words}
