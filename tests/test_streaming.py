@@ -1,5 +1,7 @@
 """Streaming: batch = stream Silver, exactly-once restart, rate limit, ingest progress."""
 
+from pyspark.sql import functions as F
+
 from loanflow import catalog
 from loanflow import fixtures as fx
 from loanflow.schema import AUDIT_COLUMNS
@@ -191,3 +193,20 @@ def test_chain_raises_what_stops_it(spark, sf_small):
     with pytest.raises(RuntimeError, match="no more"):
         run_chain(spark, bronze, silver, b_out, s_ck)
     assert not silver.isActive and not bronze.isActive
+
+
+def test_limited_streams_share_the_files(spark, sf_mid):
+    """One file per micro-batch, dealt to a stream per task slot: four ranges of keys on four cores are four streams."""
+    folders = catalog._land_ranges(spark, sf_mid)
+    assert len(folders) == 4
+    rows = catalog._limited_streams(spark, folders)
+    got = ingest_progress(rows, by=["stream"]).select("stream", "batch_rows", "total_rows").collect()
+    assert {r.stream for r in got} == set(folders)
+    assert sorted(r.batch_rows for r in got) == [3000, 4000, 4000, 4000] and all(r.total_rows == r.batch_rows for r in got)
+
+
+def test_progress_of_each_stream_by_itself(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", 2), ("b", 4)], "stream string, s int").select(
+        "stream", F.timestamp_seconds("s").alias("ingestion_timestamp"))
+    got = {(r.stream, r.batch_rows, r.total_rows, r.rows_per_sec) for r in ingest_progress(rows, by=["stream"]).collect()}
+    assert got == {("a", 1, 1, 0.0), ("a", 2, 3, 2.0), ("b", 1, 1, 0.0), ("b", 1, 2, 0.5)}
