@@ -74,3 +74,22 @@ def test_silver_layout(spark):
     assert types["int_rate"] == "double" and types["issue_d"] == "date" and types["term"] == "string"
     assert types["kafka_partition"] == "int" and types["kafka_offset"] == "bigint"
     assert len(BRONZE_COLUMNS) == 156
+
+
+def test_unreadable_text_is_kept_from_the_casts(spark):
+    """Blank text, commas and dates without a month's letter never reach a cast; all other text is read as the cast reads it."""
+    from loanflow.functions import cleaning
+
+    odd = ["", "  ", " 12 ", "\t12\n", "1,5", "+1", "--1", "1e5", "1F", "0x1p3", "NaN", " nan", "inf", "-INFINITY", "İnf", "n/a", "%%",
+           "5 %", "１２", "\x0012", ".5", "5.", "1 2", None, "Unknown", "Dec-2015", "dec-2015", "13-2015", "Jan-15", " Jan-2015",
+           "Jan-12015", "bad-date"]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    differ = df.selectExpr("x", "try_cast(x AS DOUBLE) n", f"{cleaning._number('x')} gn", "try_cast(replace(x, '%', '') AS DOUBLE) p",
+                           f"{cleaning._percent('x')} gp", "try_to_date(x, 'MMM-yyyy') d", f"{cleaning._FORMS['issue_d']('x')} gd")
+    assert differ.where("NOT (n <=> gn AND p <=> gp AND d <=> gd)").count() == 0
+    broken = {"n": cleaning._number("x").replace("try_cast(x AS DOUBLE)", "raise_error('cast')"),
+              "d": cleaning._FORMS["issue_d"]("x").replace("try_to_date(x, 'MMM-yyyy')", "raise_error('cast')")}
+    assert all("raise_error" in e for e in broken.values())
+    unread = spark.createDataFrame([("",), ("  ",), ("1,5",), ("13-2015",)], "x string")
+    unread = unread.where("x <> '13-2015'").selectExpr(f"{broken['n']} AS y").unionByName(unread.where("x <> ''").selectExpr(f"{broken['d']} AS y"))
+    assert [r.y for r in unread.collect()] == [None] * 6
