@@ -29,6 +29,8 @@ from loanflow.session import scratch_path
 
 QUOTE = '"'
 WHOLE, PIECE = 0, 1
+#: Tasks for small splits, for each task that the cluster runs at once.
+TASKS_PER_SLOT = 4
 _CUT = "file long, start long, kind int, seq int, header boolean, record string"
 
 
@@ -45,7 +47,13 @@ def _lines(spark: SparkSession, path: str, split_bytes: int | None) -> DataFrame
     if split_bytes:
         own.conf.set("spark.sql.files.openCostInBytes", str(split_bytes))
     text = own.read.option("lineSep", "\n").text(path)
-    return text.select(F.xxhash64(F.input_file_name()).alias("file"), F.input_file_block_start().alias("start"), "value")
+    lines = text.select(F.xxhash64(F.input_file_name()).alias("file"), F.input_file_block_start().alias("start"), "value")
+    if not split_bytes or split_bytes >= split:
+        return lines
+    # a task takes one small split after another, up to a split of the session's size, in four tasks or more for each that runs at
+    # once: tasks and staged files follow the data
+    small = text.rdd.getNumPartitions()
+    return lines.coalesce(max(1, TASKS_PER_SLOT * spark.sparkContext.defaultParallelism, -(-small * split_bytes // split)))
 
 
 def _places(lines: DataFrame) -> tuple[set[tuple[int, int]], set[int]]:

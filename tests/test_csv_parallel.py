@@ -8,7 +8,7 @@ import pytest
 from loanflow import fixtures as fx
 from loanflow.session import scratch_path
 from loanflow.sources import files
-from loanflow.sources.csv_records import _lines, read_loans_csv_parallel
+from loanflow.sources.csv_records import TASKS_PER_SLOT, _lines, read_loans_csv_parallel
 
 SCHEMA = "a string, b string, c string"
 
@@ -67,3 +67,21 @@ def test_one_file_is_read_by_several_tasks(spark, sf_small):
     got, want = read_loans_csv_parallel(spark, path, split_bytes=split), files.read_loans_csv(spark, path)
     assert got.schema == want.schema and got.count() == want.count() == 1500
     assert got.exceptAll(want).count() == 0
+
+
+def test_small_splits_share_tasks(spark, sf_mid):
+    """Splits of 1 KB give no more staged files than the cluster has slots for four tasks each, and the same records."""
+    import glob
+
+    path = scratch_path(spark, "csv")
+    rows = fx.loan_bronze(spark, sf_mid).limit(400)
+    files.write_loans_csv(rows, path)
+    lines = _lines(spark, path, 1 << 10)
+    assert lines.select("file", "start").distinct().count() > 100
+    most = TASKS_PER_SLOT * spark.sparkContext.defaultParallelism
+    assert lines.rdd.getNumPartitions() <= most
+    got = read_loans_csv_parallel(spark, path, split_bytes=1 << 10)
+    want = files.read_loans_csv(spark, path)
+    assert got.count() == want.count() == 400 and got.exceptAll(want).count() == 0
+    staged = glob.glob(f"{got.inputFiles()[0].removeprefix('file://').rpartition('/kind=')[0]}/kind=0/*.parquet")
+    assert len(staged) <= most
