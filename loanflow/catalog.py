@@ -47,7 +47,7 @@ from loanflow.schema import (
 )
 from loanflow.session import scratch_path
 from loanflow.sources import files
-from loanflow.sources.messages import SourceConfig, decode_messages, message_text, publish, with_backfill_metadata
+from loanflow.sources.messages import MESSAGE_CODEC, SourceConfig, decode_messages, message_text, publish, with_backfill_metadata
 
 REGISTRY: dict = {}
 
@@ -742,7 +742,7 @@ def _land_messages(spark, sf_dir, where=None) -> str:
     msgs = fx.messages(spark, sf_dir)
     if where is not None:
         msgs = msgs.where(where)
-    msgs.write.mode("overwrite").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(path)
+    msgs.write.mode("overwrite").option("maxRecordsPerFile", LANDED_MESSAGES).option("compression", MESSAGE_CODEC).parquet(path)
     return path
 
 
@@ -769,7 +769,7 @@ def q_message_source(spark, sf_dir):
     src = _land_messages(spark, sf_dir)
     out, ck = scratch_path(spark, "raw_stream"), scratch_path(spark, "raw_ckpt")
     stream = read_messages(spark, SourceConfig(fmt="parquet", path=src))
-    _await(files.append_stream(stream.drop("key"), out, ck, trigger={"availableNow": True}))
+    _await(files.append_stream(stream.drop("key"), out, ck, trigger={"availableNow": True}, codec=MESSAGE_CODEC))
     return files.read_table(spark, out).select(
         "topic", "partition", "offset", "timestamp", F.col("value").isNull().alias("value_is_null"))
 
@@ -801,7 +801,7 @@ def _land_ranges(spark, sf_dir) -> dict[str, str]:
     a path per stream name."""
     src = scratch_path(spark, "ranges")
     ranged = fx.ranged_messages(spark, sf_dir, BATCH_KEYS, max(1, spark.sparkContext.defaultParallelism))
-    ranged.write.partitionBy("share", "range").parquet(src)
+    ranged.write.partitionBy("share", "range").option("compression", MESSAGE_CODEC).parquet(src)
     return {n.replace("share=", "bronze-"): f"{src}/{n}/*" for n in files.list_names(spark, src) if n.startswith("share=")}
 
 
@@ -907,11 +907,11 @@ def q_restart_from_checkpoint(spark, sf_dir):
     src = scratch_path(spark, "messages")
     msgs = fx.messages(spark, sf_dir)
     even = F.col("offset") % 2 == 0
-    msgs.where(even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)
+    msgs.where(even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).option("compression", MESSAGE_CODEC).parquet(src)
     out, ck = scratch_path(spark, "bronze_stream"), scratch_path(spark, "bronze_ckpt")
     cfg = SourceConfig(fmt="parquet", path=src)
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))
-    msgs.where(~even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).parquet(src)  # new files arrive
+    msgs.where(~even).write.mode("append").option("maxRecordsPerFile", LANDED_MESSAGES).option("compression", MESSAGE_CODEC).parquet(src)  # new files arrive
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # resumes
     _await(stream_bronze(spark, cfg, out, ck, trigger={"availableNow": True}))  # nothing new
     return files.read_table(spark, out).drop(INGESTION_TS)

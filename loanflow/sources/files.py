@@ -144,11 +144,13 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = DEFAULT_FORMAT,
-                  trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Append every micro-batch with the native file sink: exactly-once through the checkpoint."""
+                  trigger: dict | None = None, name: str | None = None, codec: str | None = None) -> StreamingQuery:
+    """Append every micro-batch with the native file sink: exactly-once through the checkpoint; ``codec`` where not the session's."""
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
+    if codec:
+        writer = writer.option("compression", codec)
     writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
     return writer.start(path)
 

@@ -108,3 +108,22 @@ def test_backfill_scans_the_csv_once(spark, sf_small):
     files.remove(spark, csv)
     row = counts.first()
     assert (row.raw_count, row.bronze_count, row.silver_count, row.consistent) == (1500, 1500, 1500, True)
+
+
+def test_message_directories_are_packed(spark, sf_small):
+    """Landed and published messages, which repeat their column names, and a stream's copy of them take the stronger codec."""
+    import glob
+
+    from loanflow import catalog
+    from loanflow import fixtures as fx
+    from loanflow.session import scratch_path
+    from loanflow.sources import files, messages
+
+    published, copy = scratch_path(spark, "published"), scratch_path(spark, "copy")
+    messages.publish(fx.loan_bronze(spark, sf_small), "loans", path=published)
+    landed = catalog._land_messages(spark, sf_small)
+    stream = messages.read_messages(spark, messages.SourceConfig(fmt="parquet", path=landed))
+    files.append_stream(stream, copy, scratch_path(spark, "ck"), trigger={"availableNow": True}, codec=messages.MESSAGE_CODEC).awaitTermination()
+    for path in (published, landed, copy):
+        assert glob.glob(f"{path.removeprefix('file:')}/part-*.zstd.parquet") and not glob.glob(f"{path.removeprefix('file:')}/part-*.snappy.parquet")
+    assert files.read_table(spark, copy).count() == files.read_table(spark, published).count() == 1500
