@@ -73,3 +73,19 @@ def test_landed_files_follow_the_rows(spark, sf_small):
     files.write_loans_csv(rows, path, rows_per_file=100)
     assert len(glob.glob(f"{path.removeprefix('file:')}/part-*.csv")) >= 15
     assert files.read_loans_csv(spark, path).count() == rows.count()
+
+
+def test_texts_of_remainders_are_read_not_made(spark, sf_small):
+    from loanflow import fixtures as fx
+    from loanflow.schema import LOAN_COLUMNS
+
+    joined = fx._joined(spark, sf_small).limit(300)
+    far = joined.withColumn("o_orderkey", F.col("o_orderkey") * 1_000_003 + 9_000_000_000_000)
+    none = joined.limit(1).withColumn("o_orderkey", F.lit(None).cast("long"))
+    joined = joined.unionByName(joined.withColumn("o_orderkey", -F.col("o_orderkey"))).unionByName(far).unionByName(none)
+    got = fx._loan_rows(joined)
+    want = joined.selectExpr(*[f"{fx.LOAN_BRONZE_EXPRS[c].replace('{MMM}', fx.MONTH_TEXT)} AS `{c}`" for c in LOAN_COLUMNS])
+    assert got.schema == want.schema
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = fx.loan_bronze(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format") == 1 and plan.count("concat(") < 10
