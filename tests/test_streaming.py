@@ -210,3 +210,37 @@ def test_progress_of_each_stream_by_itself(spark):
         "stream", F.timestamp_seconds("s").alias("ingestion_timestamp"))
     got = {(r.stream, r.batch_rows, r.total_rows, r.rows_per_sec) for r in ingest_progress(rows, by=["stream"]).collect()}
     assert got == {("a", 1, 1, 0.0), ("a", 2, 3, 2.0), ("b", 1, 1, 0.0), ("b", 1, 2, 0.5)}
+
+
+def test_progress_log_waits_for_late_reports(spark, sf_small, monkeypatch):
+    """Reports that come more than ten seconds late are waited for, and none is written on the thread that reports."""
+    import threading
+    import time
+
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    from loanflow.streaming.progress import ProgressLog, progress_table
+
+    class Slow(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            time.sleep(6)
+
+        def onQueryTerminated(self, event):
+            pass
+
+    reports, writes = set(), set()
+    note, flush = ProgressLog.onQueryProgress, ProgressLog.flush
+    monkeypatch.setattr(ProgressLog, "onQueryProgress", lambda self, e: (reports.add(threading.get_ident()), note(self, e))[1])
+    monkeypatch.setattr(ProgressLog, "flush", lambda self: (writes.add(threading.get_ident()), flush(self))[1])
+    src, log, slow = land(spark, sf_small, n_files=6), scratch_path(spark, "log"), Slow()
+    spark.streams.addListener(slow)
+    try:
+        with ProgressLog(spark, log, every=1):
+            stream_bronze(spark, SourceConfig(fmt="parquet", path=src, max_per_trigger=2), scratch_path(spark, "b"), scratch_path(spark, "bck"), ONCE).awaitTermination()
+    finally:
+        spark.streams.removeListener(slow)
+    assert [r["total_rows"] for r in progress_table(spark, log).orderBy("batch_id").collect()][-1] == 1500
+    assert reports and writes and not reports & writes
