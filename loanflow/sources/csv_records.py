@@ -7,9 +7,10 @@ them, so a place is inside quotes exactly if an odd number of quotes lies before
 1. One narrow pass counts the quotes of every split.  A running sum over each file's splits says which of them start
    inside quotes; the driver takes their places only (16 bytes per such split, where planning a
    scan already holds an entry for every split).
-2. Tasks cut their own splits into records (Arrow batches, in order, no shuffle), which are staged: whole records, and
-   apart from them the pieces at the ends of splits, at most two per split.
-3. The pieces of a record are joined in order, and every record is parsed by ``from_csv``.
+2. A second narrow pass cuts the splits into records (Arrow batches, in order) and stages only the pieces at the
+   ends of splits, at most two per split; the pieces of a record are joined in order.
+3. The records that lie whole in a split are cut by the task that parses them with ``from_csv``; none of them is shuffled or
+   written, so the disk holds no second copy of the text.
 
 Result: the rows of ``read_loans_csv`` for quoted CSV as that writes and reads it (a quote only at the ends of a quoted
 field, or doubled inside it), with its header per file, blank lines, missing trailing fields and nulls.  A file with a
@@ -20,7 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +31,9 @@ from loanflow.schema import LOAN_SCHEMA
 from loanflow.session import scratch_path
 
 QUOTE = '"'
-WHOLE, PIECE = 0, 1
 #: Tasks for small splits, for each task that the cluster runs at once.
 TASKS_PER_SLOT = 4
-_CUT = "file long, start long, kind int, seq int, header boolean, record string"
+_PIECES = "file long, start long, seq int, header boolean, record string"
 
 
 def _lines(spark: SparkSession, path: str, split_bytes: int | None) -> DataFrame:
@@ -68,69 +70,89 @@ def _places(lines: DataFrame) -> tuple[set[tuple[int, int]], set[int]]:
 
 
 class _Cutter:
-    """Cuts the lines of one split after another into records."""
+    """Cuts the lines of one split after another into records: ``whole`` ones (Arrow arrays), and ``pieces`` at the ends of splits."""
 
     def __init__(self, inside: set[tuple[int, int]], crlf: set[int]):
         self.inside_at, self.crlf = inside, crlf
-        self.out: list[tuple] = []
+        self.whole: list[pa.Array] = []
+        self.pieces: list[tuple] = []
         self.key: tuple[int, int] | None = None
 
     def open(self, key: tuple[int, int]) -> None:
         self.close()
-        self.key, self.held, self.seq = key, [], 0
+        self.key, self.held = key, []
         self.inside = self.continued = key in self.inside_at
         self.header = key[1] == 0
         self.strip = key[0] in self.crlf
 
-    def line(self, text: str) -> None:
-        if self.strip and text.endswith("\r"):
-            text = text[:-1]
-        self.held.append(text)
-        if text.count(QUOTE) % 2:
-            self.inside = not self.inside
-        if not self.inside:
-            self.put(False)
-
-    def put(self, open_end: bool) -> None:
-        record = "\n".join(self.held)
+    def lines(self, text: pa.Array, quotes: np.ndarray) -> None:
+        """The next lines of the open split, and the number of quotes in each."""
+        if self.strip:
+            text = pc.if_else(pc.ends_with(text, "\r"), pc.utf8_slice_codeunits(text, 0, -1), text)
+        parity = (np.cumsum(quotes) + self.inside) % 2
+        ends = np.flatnonzero(parity == 0) + 1
+        self.inside = bool(parity[-1])
+        at = 0
+        # one by one while what was held, a piece or the header may come
+        while len(ends) and (self.held or self.continued or self.header):
+            self.put("\n".join([*self.held, *text[at:ends[0]].to_pylist()]))
+            at, ends = ends[0], ends[1:]
+        if len(ends):
+            bounds = pa.array(np.r_[at, ends] - at, pa.int32())
+            records = pc.binary_join(pa.ListArray.from_arrays(bounds, text[at:ends[-1]]), "\n")
+            self.whole.append(records.filter(pc.not_equal(records, "")))
+            at = ends[-1]
+        self.held += text[at:].to_pylist()
+
+    def put(self, record: str, open_end: bool = False) -> None:
         self.held = []
         if self.continued or open_end:
             # goes on from the split before (1), or starts here and goes on into the next one (2)
-            self.out.append((*self.key, PIECE, 1 if self.continued else 2, self.header and not self.continued, record))
+            self.pieces.append((*self.key, 1 if self.continued else 2, self.header and not self.continued, record))
         elif record and not self.header:
-            self.out.append((*self.key, WHOLE, 0, False, record))
+            self.whole.append(pa.array([record], pa.string()))
         self.header = self.header and not record  # blank lines before the header are none
         self.continued = False
 
     def close(self) -> None:
         if self.key is not None and self.held:
-            self.put(True)
+            self.put("\n".join(self.held), True)
         self.key = None
 
 
-def _cut(lines: DataFrame, inside: set, crlf: set) -> DataFrame:
-    names = [c.split()[0] for c in _CUT.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
+def _cut(lines: DataFrame, inside: set, crlf: set, pieces: bool) -> DataFrame:
+    """The pieces at the ends of splits, or the records that lie whole in a split."""
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = _Cutter(inside, crlf)
 
-        def ready():
-            rows, cutter.out = cutter.out, []
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        def ready() -> Iterator[pa.RecordBatch]:
+            whole, cutter.whole = cutter.whole, []
+            rows, cutter.pieces = cutter.pieces, []
+            if pieces and rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            elif not pieces and whole:
+                yield from pa.Table.from_arrays([pa.chunked_array(whole)], names=["record"]).combine_chunks().to_batches()
 
         for b in batches:
-            for file, start, text in zip(*(b.column(c).to_pylist() for c in ("file", "start", "value"))):
-                if (file, start) != cutter.key:
-                    cutter.open((file, start))
-                cutter.line(text)
-            if cutter.out:
-                yield ready()
+            if not b.num_rows:
+                continue
+            file, start = (b.column(c).to_numpy() for c in ("file", "start"))
+            text = b.column("value").cast(pa.string())
+            quotes = pc.count_substring(text, QUOTE).to_numpy()
+            cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
+            for i, j in zip(np.r_[0, cuts], np.r_[cuts, b.num_rows]):
+                key = int(file[i]), int(start[i])
+                if key != cutter.key:
+                    cutter.open(key)
+                cutter.lines(text[i:j], quotes[i:j])
+            yield from ready()
         cutter.close()
-        if cutter.out:
-            yield ready()
+        yield from ready()
 
-    return lines.mapInArrow(run, _CUT)
+    return lines.mapInArrow(run, _PIECES if pieces else "record string")
 
 
 def _joined(pieces: DataFrame) -> DataFrame:
@@ -150,11 +172,11 @@ def read_csv_records(spark: SparkSession, path: str, split_bytes: int | None = N
     """(record): the text of every record of all files, without headers and blank lines; ``split_bytes`` bounds the splits."""
     lines = _lines(spark, path, split_bytes)
     inside, crlf = _places(lines)
-    folder = scratch_path(spark, "csv-records")
-    _cut(lines, inside, crlf).write.partitionBy("kind").parquet(folder)
-    cut = spark.read.schema(_CUT).parquet(folder)
-    joined = _joined(cut.where(F.col("kind") == PIECE)).where("NOT header")
-    return cut.where(F.col("kind") == WHOLE).select("record").unionByName(joined.select("record"))
+    folder = scratch_path(spark, "csv-pieces")
+    _cut(lines, inside, crlf, pieces=True).write.parquet(folder)
+    joined = _joined(spark.read.schema(_PIECES).parquet(folder)).where("NOT header")
+    # the first frame of a union gives its session, which is the caller's; the scan of the lines keeps the splits of its own
+    return joined.select("record").unionByName(_cut(lines, inside, crlf, pieces=False))
 
 
 def read_loans_csv_parallel(spark: SparkSession, path: str, schema=LOAN_SCHEMA, split_bytes: int | None = None) -> DataFrame:

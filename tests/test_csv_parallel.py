@@ -85,3 +85,21 @@ def test_small_splits_share_tasks(spark, sf_mid):
     assert got.count() == want.count() == 400 and got.exceptAll(want).count() == 0
     staged = glob.glob(f"{got.inputFiles()[0].removeprefix('file://').rpartition('/kind=')[0]}/kind=0/*.parquet")
     assert len(staged) <= most
+
+
+def test_records_are_not_written_again(spark, sf_mid):
+    """Only the pieces at the cuts are staged: a small part of the text, however it is cut; the session is the caller's."""
+    from loanflow.session import checkpoint_root
+
+    path, root = scratch_path(spark, "csv"), checkpoint_root(spark).removeprefix("file:") + "/loanflow"
+
+    def size(top):
+        return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(top) for f in names)
+
+    files.write_loans_csv(fx.loan_bronze(spark, sf_mid), path, rows_per_file=5000)
+    before, text = size(root), size(path.removeprefix("file:"))
+    got = read_loans_csv_parallel(spark, path, split_bytes=1 << 18)
+    assert size(root) - before < text / 20
+    assert got.sparkSession is spark or got.sparkSession._jsparkSession.equals(spark._jsparkSession)
+    want = files.read_loans_csv(spark, path)
+    assert got.count() == want.count() == 15_000 and got.exceptAll(want).count() == 0
