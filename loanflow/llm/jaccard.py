@@ -17,7 +17,7 @@ that is, when their distance is at most r = 0.25.  Documents with equal sets are
    is joined around the next pivot.
 4. Large regions (a group of near copies may hold a third of all rows) take their first pivot as a
    distributed join.  Only documents outside r, and the boundary documents that the
-   triangle inequality lets them reach, go on, in blocks of ``BLOCK`` classes against blocks.
+   triangle inequality lets them reach, go on, in blocks of ``BLOCK`` classes against blocks of like size.
 
 Shingles are 64-bit hashes, and a class is named by a 64-bit hash of its set; different ones
 are taken as different (for 10^9 documents two of 10^18 pairs of classes may share a name with probability 0.03).
@@ -29,6 +29,7 @@ in the smallest id of a component; an empty table gives an empty result; other c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -51,7 +52,14 @@ FREQUENT = 16
 CELL_MATES = 32
 #: Cells of frequent shingles are dealt to so many tasks each.
 SALTS = 16
-MEET = "array<struct<i:int,both:boolean,j:int>>"
+#: Shingles of more than one in so many sets of a block are counted by a table.
+DENSE = 8
+#: Lists of cells summed up at a time.
+LISTS = 1024
+#: Two classes of one link differ by one step of size at most (a little more than the largest ratio of their sizes).
+SIZE_STEP = math.log(DEN / NUM) + 1e-6
+PLACES = "array<struct<k:int,b:int>>"
+MEET = "array<struct<i:struct<k:int,b:int>,both:boolean,j:struct<k:int,b:int>>>"
 #: Bytes of text hashed at a time.
 CHUNK = 1 << 19
 
@@ -200,25 +208,31 @@ def first_pass(docs: DataFrame, bits: int) -> DataFrame:
     return staged(docs.mapInArrow(run, "doc_id long, n int, cls long, bucket int, low binary"), "shingle-pass")
 
 
-def frequent_cells(cells: DataFrame, bits: int, total: int) -> bytes:
+def frequent_cells(cells: DataFrame, bits: int, total: int) -> bytearray:
     """Bit table of the cells with many shingles: 2^bits bits.  Each bucket is summed in a group of its own."""
     least = FREQUENT + 4 * total / (1 << bits)
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        count = np.zeros(1 << 16, np.int64)
-        for low in rows.column("low").to_pylist():
-            count += np.bincount(np.frombuffer(low, "<u2"), minlength=1 << 16)
+        count, held = np.zeros(1 << 16, np.int64), []
+        # a list holds a few cells of 2^16: many lists are summed up at a time
+        lists = rows.column("low").to_pylist()
+        for k, low in enumerate(lists):
+            held.append(low)
+            if len(held) == LISTS or k == len(lists) - 1:
+                count += np.bincount(np.frombuffer(b"".join(held), "<u2"), minlength=1 << 16)
+                held = []
         hot = np.packbits(count > least, bitorder="little").tobytes() if (count > least).any() else None
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "hot": pa.array([hot], pa.binary())})
 
-    return _bit_table(cells.groupBy("bucket").applyInArrow(run, "bucket int, hot binary").where("hot is not null"), bits)
+    return _bit_table(cells.groupBy("bucket").applyInArrow(run, "bucket int, hot binary").where("hot is not null"), bits, "frequent-cells")
 
 
-def _bit_table(buckets: DataFrame, bits: int) -> bytes:
+def _bit_table(buckets: DataFrame, bits: int, name: str) -> bytearray:
+    """The table of all buckets' bits.  They are computed by all tasks and stored first: an iterator over what is not would run one partition after another."""
     out = bytearray(1 << (bits - 3))
-    for r in buckets.toLocalIterator():
+    for r in staged(buckets, name).toLocalIterator():
         out[r["bucket"] << 13:(r["bucket"] + 1) << 13] = r["hot"]
-    return bytes(out)
+    return out
 
 
 def _has_bit(table: np.ndarray, cell: np.ndarray) -> np.ndarray:
@@ -331,7 +345,7 @@ def region_sets(docs: DataFrame, region: DataFrame, n_classes: int) -> DataFrame
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "hot": pa.array([np.packbits(hot, bitorder="little").tobytes()], pa.binary())})
 
     buckets = region.select(cell.alias("cell")).distinct().withColumn("bucket", F.shiftright("cell", 16).cast("int"))
-    wanted = docs.sparkSession.sparkContext.broadcast(_bit_table(buckets.groupBy("bucket").applyInArrow(fill, "bucket int, hot binary"), bits))
+    wanted = docs.sparkSession.sparkContext.broadcast(_bit_table(buckets.groupBy("bucket").applyInArrow(fill, "bucket int, hot binary"), bits, "wanted-classes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(wanted.value, np.uint8), set()
@@ -378,15 +392,19 @@ def _overlaps(sets: list[np.ndarray], columns: int = 1 << 14, at_once: int = 1 <
 
 
 def _slice_overlaps(sets: list[np.ndarray], columns: int) -> np.ndarray:
-    """Products of the table (set, shingle), ``columns`` shingles at a time.  Shingles of one set only are left out."""
+    """Shingles of one set only are left out; those of few sets are counted pair by pair, those of many by products of the table
+    (set, shingle), ``columns`` shingles at a time."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
     _, shingle, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner, shingle = owner[count[shingle] > 1], shingle[count[shingle] > 1]
+    count = count[shingle]
+    owner, shingle, count = owner[count > 1], shingle[count > 1], count[count > 1]
     order = np.argsort(shingle, kind="stable")
-    owner, shingle = owner[order], shingle[order]
+    owner, shingle, count = owner[order], shingle[order], count[order]
+    few = count * DENSE <= n
+    out = _pair_counts(owner[few], shingle[few], n)
+    owner, shingle = owner[~few], shingle[~few]
     column = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]]) if len(shingle) else shingle
-    out = np.zeros((n, n), np.float64)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
         a, b = np.searchsorted(column, (at, at + columns))
         part = np.zeros((n, min(columns, int(column[-1]) + 1 - at)), np.float32)
@@ -395,6 +413,18 @@ def _slice_overlaps(sets: list[np.ndarray], columns: int) -> np.ndarray:
     return out
 
 
+def _pair_counts(owner: np.ndarray, shingle: np.ndarray, n: int) -> np.ndarray:
+    """How many shingles each two sets share, from the sets of each shingle side by side."""
+    upper = np.zeros(n * n, np.int64)
+    at = np.arange(len(owner))
+    lag = 1
+    while len(at := at[at + lag < len(owner)]) and len(at := at[shingle[at + lag] == shingle[at]]):
+        upper += np.bincount(owner[at] * n + owner[at + lag], minlength=n * n)
+        lag += 1
+    upper = upper.reshape(n, n).astype(np.float64)
+    return upper + upper.T + np.diag(np.bincount(owner, minlength=n))
+
+
 class _Joiner:
     """Links among a block of sets in memory, as a spanning forest."""
 
@@ -470,23 +500,36 @@ def pivot_distances(sets: DataFrame) -> DataFrame:
 
 
 def large_links(sets: DataFrame) -> DataFrame:
-    """Links of large regions: around the first pivot by a join, then what is left in blocks against blocks."""
+    """Links of large regions: around the first pivot by a join, then what is left in blocks against blocks.
+
+    Blocks are made by step of size, and only blocks of the same or the next step meet: sizes further apart than that do not link.
+    """
     r, eps = 1 - NUM / DEN, 1e-9
     far = staged(pivot_distances(sets), "pivot-distances")
     stars = far.where((F.col("d") <= r + eps) & (F.col("cls") != F.col("region"))).select(F.col("region").alias("a"), F.col("cls").alias("b"))
     outside = F.col("d") > r + eps
-    per = far.groupBy("region").agg(F.min(F.when(outside, F.col("d"))).alias("least"), F.sum(outside.cast("long")).alias("n_out"),
-                                    F.count(F.lit(1)).alias("n_all")).where("n_out > 0")
+    per = far.groupBy("region").agg(F.min(F.when(outside, F.col("d"))).alias("least"), F.sum(outside.cast("long")).alias("n_out")).where("n_out > 0")
     left = far.join(per, "region").where(outside | ((F.col("least") <= 2 * r + eps) & (F.col("d") >= F.col("least") - r - eps) & (F.col("cls") != F.col("region"))))
-    n_out = F.ceil(F.col("n_out") / BLOCK).cast("int")
-    n_in = F.ceil((F.col("n_all") - F.col("n_out")) / BLOCK).cast("int")
-    left = left.withColumn("out", outside).withColumn("blk", F.pmod(F.xxhash64("cls"), F.when(outside, n_out).otherwise(F.greatest(n_in, F.lit(1)))).cast("int"))
+    left = left.select("region", "cls", "shingles", "d", outside.alias("out"), F.floor(F.log("n") / SIZE_STEP).cast("int").alias("k"))
+    blocks = left.groupBy("region", "k").agg(*[F.ceil(F.count(F.when(c, 1)) / BLOCK).cast("int").alias(kind) for kind, c in (("n_out", F.col("out")), ("n_in", ~F.col("out")))])
+    blocks = blocks.groupBy("region").agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct("n_out", "n_in")))).alias("blocks"))
+    left = left.join(blocks, "region")
+
+    def number(kind: str, k):
+        return F.coalesce(F.try_element_at("blocks", k)[kind], F.lit(0))
+
+    def near(kind: str):
+        """The blocks that the sizes let a class link to."""
+        of = lambda k: F.when(number(kind, k) > 0, F.transform(F.sequence(F.lit(0), number(kind, k) - 1), lambda b: F.struct(k.alias("k"), b.alias("b")))).otherwise(F.array().cast(PLACES))
+        return F.concat(*[of(F.col("k") + step) for step in (-1, 0, 1)])
+
+    own_blocks = F.when(F.col("out"), number("n_out", F.col("k"))).otherwise(number("n_in", F.col("k")))
+    left = left.withColumn("own", F.struct("k", F.pmod(F.xxhash64("cls"), own_blocks).cast("int").alias("b")))
     # a block outside meets each block outside once and each block inside once; blocks inside do not meet
-    blocks = lambda n: F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)
     meet = F.when(F.col("out"), F.concat(
-        F.transform(blocks(n_out), lambda j: F.struct(F.least("blk", j).alias("i"), F.lit(True).alias("both"), F.greatest("blk", j).alias("j"))),
-        F.when((n_in > 0) & (F.col("d") <= 2 * r + eps), F.transform(blocks(n_in), lambda j: F.struct(F.col("blk").alias("i"), F.lit(False).alias("both"), j.alias("j")))).otherwise(F.array().cast(MEET)))
-    ).otherwise(F.transform(blocks(n_out), lambda i: F.struct(i.alias("i"), F.lit(False).alias("both"), F.col("blk").alias("j"))))
+        F.transform(near("n_out"), lambda p: F.struct(F.least("own", p).alias("i"), F.lit(True).alias("both"), F.greatest("own", p).alias("j"))),
+        F.when(F.col("d") <= 2 * r + eps, F.transform(near("n_in"), lambda p: F.struct(F.col("own").alias("i"), F.lit(False).alias("both"), p.alias("j")))).otherwise(F.array().cast(MEET)))
+    ).otherwise(F.transform(near("n_out"), lambda p: F.struct(p.alias("i"), F.lit(False).alias("both"), F.col("own").alias("j"))))
     dealt = left.select("region", "cls", "shingles", "out", F.explode(meet).alias("m")).select("region", "cls", "shingles", "out", "m.*")
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
